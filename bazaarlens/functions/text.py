@@ -34,7 +34,7 @@ def path_depth(path: Column) -> Column:
 
 def csv_list(text: Column) -> Column:
     """Comma list to array: trimmed, without empty entries."""
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda p: p != "")
+    return F.filter(F.transform(F.split(text, ","), lambda p: F.trim(p)), lambda p: p != "")
 
 
 def url_query_param(url: Column, name: str) -> Column:

@@ -107,7 +107,7 @@ where nth = 1
 select
     item_id, seller_id, category_id, price, base_price, original_price, currency_id, available_quantity,
     sold_quantity, status, item_condition as condition, snapshot_date as last_updated, snapshot_date,
-    year(snapshot_date) * 10000 + month(snapshot_date) * 100 + day(snapshot_date) as snapshot_date_key,
+    cast(year(snapshot_date) * 10000 + month(snapshot_date) * 100 + day(snapshot_date) as bigint) as snapshot_date_key,
     snapshot_date as ingested_at, 'seller_api' as source
 from (
     select

@@ -38,9 +38,16 @@ from lineitem join part on l_partkey = p_partkey
 )
 
 
+_LANDED: dict[tuple[str, str, str], tuple[str, int]] = {}
+
+
 def _landed_root(lake: Lake, entity: str) -> tuple[str, int]:
-    root = scratch_path(lake.spark, "landing")
-    return root, bronze.write_bronze(lake.bronze(entity), root, entity)
+    """Root and row count of an entity landed in date folders, once per session."""
+    key = (lake.spark.sparkContext.applicationId, lake.dir, entity)
+    if key not in _LANDED:
+        root = scratch_path(lake.spark, "landing")
+        _LANDED[key] = root, bronze.write_bronze(lake.bronze(entity), root, entity)
+    return _LANDED[key]
 
 
 @query(

@@ -65,7 +65,7 @@ def query(key: str, sql: str | None = None):
             raise ValueError(f"query {key} is registered twice")
         QUERIES[key] = lambda spark, sf_dir: comparable(fn(Lake(spark, sf_dir)))
         if sql is not None:
-            ORACLES[key] = with_views(sql)
+            ORACLES[key] = sql
         return fn
 
     return register
