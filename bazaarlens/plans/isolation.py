@@ -7,15 +7,20 @@ table size. Scoring is a vectorised column over the full table, with no shuffle
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarlens.fixed_values import FEATURE_COLUMNS, RANDOM_STATE
 
+# Task functions travel with the job, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TREES = 100
 SAMPLE = 256
 EULER_GAMMA = 0.5772156649015329

@@ -32,14 +32,20 @@ def partitioned(records: DataFrame) -> DataFrame:
     return records.select(*ENVELOPE, *day_parts(ts))
 
 
-def write_bronze(records: DataFrame, root: str, entity: str) -> int:
+def write_bronze(records: DataFrame, root: str, entity: str, many_days: bool = False) -> int:
     """Append both twins under ``root``; returns the row count.
 
     The Parquet payload is JSON text; the JSON-lines payload is the object itself, written as text
     so that no schema has to be inferred. The count is observed during the Parquet write.
+
+    One landing has one day, so its tasks write side by side without a shuffle. A backfill over
+    ``many_days`` is range-shuffled by day and payload first; otherwise every task would open a
+    file for every day.
     """
     seen = Observation()
-    dated = partitioned(records).hint("rebalance", *PARTITIONS)
+    dated = partitioned(records)
+    if many_days:
+        dated = dated.repartitionByRange(*PARTITIONS, F.xxhash64("payload"))
     counted = dated.observe(seen, F.count(F.lit(1)).alias("rows"))
     counted.write.mode("append").partitionBy(*PARTITIONS).parquet(f"{root}/parquet/{entity}")
     head = F.to_json(F.struct(*ENVELOPE[:-1]), {"ignoreNullFields": "false"})

@@ -48,14 +48,14 @@ def publish(tables: Mapping[str, DataFrame], root: str) -> dict[str, int]:
     return {name: write_table(df, f"{root}/{name}") for name, df in tables.items()}
 
 
-def append_snapshots(fact: DataFrame, path: str, key: str = "snapshot_date_key") -> None:
+def append_snapshots(fact: DataFrame, path: str, spread: str, key: str = "snapshot_date_key") -> None:
     """Replace only the snapshot dates present in ``fact``; earlier dates stay.
 
-    REBALANCE sizes the files per date at run time: a date with most of the rows is split over
-    many tasks, and small dates do not scatter into tiny files.
+    Rows are range-shuffled by date and ``spread`` (the entity id): a small date lands in one or two
+    files, and a date with a third of all rows is cut by id over as many tasks as it fills.
     """
     (
-        fact.hint("rebalance", key)
+        fact.repartitionByRange(key, spread)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(key)

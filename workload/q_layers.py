@@ -94,9 +94,9 @@ def fact_append_snapshot(lake: Lake) -> DataFrame:
     """All dates are loaded, then the later ones again with other counts: only those are replaced."""
     path = scratch_path(lake.spark, "history")
     fact = lake.star["fact_category_snapshot"].select("category_id", "snapshot_date_key", "domain_count")
-    append_snapshots(fact, path)
+    append_snapshots(fact, path, "category_id")
     later = fact.filter("snapshot_date_key >= 20011101").withColumn("domain_count", F.col("domain_count") * 2)
-    append_snapshots(later, path)
+    append_snapshots(later, path, "category_id")
     return read_table(lake.spark, path, "category_id string, domain_count bigint, snapshot_date_key bigint")
 
 

@@ -46,7 +46,7 @@ def _landed_root(lake: Lake, entity: str) -> tuple[str, int]:
     key = (lake.spark.sparkContext.applicationId, lake.dir, entity)
     if key not in _LANDED:
         root = scratch_path(lake.spark, "landing")
-        _LANDED[key] = root, bronze.write_bronze(lake.bronze(entity), root, entity)
+        _LANDED[key] = root, bronze.write_bronze(lake.bronze(entity), root, entity, many_days=True)
     return _LANDED[key]
 
 
