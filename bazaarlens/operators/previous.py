@@ -43,15 +43,17 @@ def with_previous(
     )
     parts = F.ceil(F.col("_n") / F.lit(hot_rows))
     reach = (F.col("_pos") - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
-    # Rows without a key have no previous row, so any spread will do. Rows without a position form
-    # the last slice of their key, as nulls sort last.
+    # rows without a position form the last slice of their key, as nulls sort last
+    hot_slice = F.coalesce(F.floor(reach * parts), parts)
+    # rows without a key have no previous row, so any spread will do
     slice_no = (
         F.when(F.col(key).isNull(), -2 - F.pmod(F.xxhash64(order), F.lit(4096)))
         .when(F.col("_n").isNull(), F.lit(-1))
-        .otherwise(F.coalesce(F.floor(reach * parts), parts))
+        .otherwise(hot_slice)
     )
+    is_hot = F.col(key) == F.col("_hot")
     sliced = (
-        placed.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+        placed.join(F.broadcast(hot), is_hot, "left")
         .withColumn("_slice", slice_no.cast("bigint"))
         .drop("_n", "_lo", "_hi", "_pos", "_hot")
     )
@@ -62,9 +64,10 @@ def with_previous(
 
     tail_values = F.struct(*(F.col(old).alias(new) for new, old in columns.items()))
     across = Window.partitionBy(key).orderBy("_slice")
+    # an inner join: with no hot key the second scan is dropped at run time
     entries = (
-        sliced.filter("_slice >= 0")
-        .groupBy(key, "_slice")
+        placed.join(F.broadcast(hot), is_hot)
+        .groupBy(key, hot_slice.cast("bigint").alias("_slice"))
         .agg(F.max_by(tail_values, F.struct(F.col(order).isNull(), F.col(order))).alias("_tail"))
         .withColumn("_before", F.lag("_tail").over(across))
         .select(F.col(key).alias("_ekey"), F.col("_slice").alias("_eslice"), "_before")

@@ -55,8 +55,10 @@ def staging(star: Tables, name: str) -> DataFrame:
     return star[table].select(*columns)
 
 
-def _calendar(star: Tables, date_name: str = "snapshot_date") -> DataFrame:
-    return star["dim_date"].select(F.col("date_key").alias("snapshot_date_key"), F.col("date").alias(date_name))
+def _calendar(star: Tables, key: str = "snapshot_date_key", date: str = "snapshot_date") -> DataFrame:
+    """One row per calendar day, 366 a year at most, so it is broadcast: a day that holds a third of
+    the facts is never shuffled by its date."""
+    return F.broadcast(star["dim_date"].select(F.col("date_key").alias(key), F.col("date").alias(date)))
 
 
 def stg_item_details(star: Tables) -> DataFrame:
@@ -111,11 +113,17 @@ def mart_marketplace_overview(star: Tables) -> DataFrame:
 
 
 def mart_seller_item_metrics(star: Tables) -> DataFrame:
-    """As the Gold seller table, but over item snapshots: raw price spread, latest calendar date."""
+    """As the Gold seller table, but over item snapshots: raw price spread, latest calendar date.
+
+    The latest date is found by its number and named afterwards: a maximum over text would force
+    the whole aggregation to sort instead of hash.
+    """
+    dated = F.when(F.col("snapshot_date").isNotNull(), F.col("snapshot_date_key"))
     grouped = stg_item_details(star).groupBy("seller_id", "category_id", "status").agg(
-        *seller_group_aggregates(), F.max("snapshot_date").alias("latest_snapshot_date")
+        *seller_group_aggregates(), F.max(dated).alias("_latest")
     )
-    return grouped.select(
+    named = grouped.join(_calendar(star, "_latest", "latest_snapshot_date"), "_latest", "left")
+    return named.select(
         "seller_id", "category_id", "status", "item_count", "active_item_count",
         "avg_price", "min_price", "max_price",
         "total_available_quantity", "total_sold_quantity",

@@ -10,10 +10,18 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_table(df: DataFrame, path: str) -> int:
-    """Overwrite a Parquet table; returns the row count taken during the write."""
+ROWS_PER_FILE = 2_000_000
+
+
+def write_table(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Overwrite a Parquet table; returns the row count taken during the write.
+
+    Files are capped in rows, so that one large write task does not leave a file that only a few
+    readers can share.
+    """
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
     return int(seen.get["rows"])
 
 

@@ -160,6 +160,9 @@ QUESTIONS = [
     "Bom dia",
 ]
 
+# small files, so that tables of test size still spread over all cores
+ROWS_PER_FILE = 50_000
+
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
@@ -182,7 +185,7 @@ class Lake:
         key = (self.spark.sparkContext.applicationId, self.dir, name)
         if key not in _STORED:
             path = scratch_path(self.spark, name)
-            write_table(build(), path)
+            write_table(build(), path, ROWS_PER_FILE)
             _STORED[key] = path
         return read_table(self.spark, _STORED[key])
 
@@ -397,6 +400,9 @@ class Lake:
 
     @property
     def manifests(self) -> DataFrame:
+        return self.stored("manifests", self._manifests)
+
+    def _manifests(self) -> DataFrame:
         """One run per order; its lines become task outputs of both manifest shapes."""
         per_task = self.sql(
             """
