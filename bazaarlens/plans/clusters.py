@@ -76,12 +76,12 @@ def fit_clusters(scores: DataFrame, seed: int = fixed.RANDOM_STATE) -> tuple[Dat
     """
     spark = scores.sparkSession
     point = array_to_vector(F.array(*standardised(scores)))
-    points = scores.withColumn("point", point).persist()
+    points = scores.select(point.alias("point")).persist()
     try:
         max_k = min(fixed.MAX_CLUSTERS, points.count() - 1)
         if max_k < 2:
             raise ValueError("clustering needs at least three rows")
-        candidates = sweep(points.select("point"), max_k, seed)
+        candidates = sweep(points, max_k, seed)
     finally:
         points.unpersist()
     _, _, model = max(candidates, key=lambda c: (c[1], -c[0]))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens.functions.dates import day_parts, parse_utc
 from bazaarlens.schemas import BRONZE, ENVELOPE
+from bazaarlens.sources.tables import by_date
 
 PARTITIONS = ["year", "month", "day"]
 
@@ -45,7 +46,7 @@ def write_bronze(records: DataFrame, root: str, entity: str, many_days: bool = F
     seen = Observation()
     dated = partitioned(records)
     if many_days:
-        dated = dated.repartitionByRange(*PARTITIONS, F.xxhash64("payload"))
+        dated = by_date(dated, PARTITIONS, F.xxhash64("payload"))
     counted = dated.observe(seen, F.count(F.lit(1)).alias("rows"))
     counted.write.mode("append").partitionBy(*PARTITIONS).parquet(f"{root}/parquet/{entity}")
     head = F.to_json(F.struct(*ENVELOPE[:-1]), {"ignoreNullFields": "false"})

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import math
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -56,14 +57,26 @@ def publish(tables: Mapping[str, DataFrame], root: str) -> dict[str, int]:
     return {name: write_table(df, f"{root}/{name}") for name, df in tables.items()}
 
 
+def by_date(df: DataFrame, dates: Sequence[str], spread: Column) -> DataFrame:
+    """Range-shuffle rows by date and ``spread`` for a write partitioned by date.
+
+    A small date lands in one or two files, and a date with a third of all rows is cut over as many
+    tasks as it fills. One pass over the date columns sizes the shuffle: at most ``ROWS_PER_FILE``
+    rows a task, and enough tasks to write many small dates side by side. Give it a stored frame.
+    """
+    size = df.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(F.struct(*dates)).alias("dates")).first()
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, math.ceil(size["rows"] / ROWS_PER_FILE), min(size["dates"], parallel))
+    return df.repartitionByRange(tasks, *dates, spread)
+
+
 def append_snapshots(fact: DataFrame, path: str, spread: str, key: str = "snapshot_date_key") -> None:
     """Replace only the snapshot dates present in ``fact``; earlier dates stay.
 
-    Rows are range-shuffled by date and ``spread`` (the entity id): a small date lands in one or two
-    files, and a date with a third of all rows is cut by id over as many tasks as it fills.
+    ``spread`` is the entity id by which a large date is cut into files.
     """
     (
-        fact.repartitionByRange(key, spread)
+        by_date(fact, [key], F.col(spread))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(key)

@@ -220,7 +220,13 @@ def dq_unique(lake: Lake) -> DataFrame:
     return check_table(lake.domains, domains).unionByName(check_table(lake.items, items))
 
 
-@query("dq_gate")
+@query(
+    "dq_gate",
+    f"""
+select 'Data quality checks failed: item_details_non_null: ' || details as message, (select count(*) from item_details) as rows
+from ({non_null_sql("item_details", "item_details", DQ_ITEM_COLUMNS)}) failed
+""",
+)
 def dq_gate(lake: Lake) -> DataFrame:
     """The gate's message for a failing table, and its silence for a sound one."""
     gate(check_table(lake.items, TableRules("item_details", ["item_id"], ["item_id"], ["item_id"])))

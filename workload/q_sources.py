@@ -143,13 +143,21 @@ def scan_json_docs(lake: Lake) -> DataFrame:
     return lake.spark.read.schema(fields).json(path)
 
 
-@query("sink_json_doc")
+@query(
+    "sink_json_doc",
+    """
+select 'category_ml_baseline_v1' as model_version, count(*) as output_rows,
+    sum(case when is_anomaly then 1 else 0 end)::bigint as anomaly_count, true as has_training_time
+from scores
+""",
+)
 def sink_json_doc(lake: Lake) -> DataFrame:
     path = scratch_path(lake.spark, "metadata")
     described = scoring.model_metadata(lake.scores).withColumn("trained_at", F.current_timestamp())
     documents.write_document(described, path)
     fields = "model_version string, output_rows bigint, anomaly_count bigint, trained_at string"
-    return documents.read_documents(lake.spark, path, fields)
+    written = documents.read_documents(lake.spark, path, fields)
+    return written.withColumn("has_training_time", F.col("trained_at").isNotNull()).drop("trained_at")
 
 
 @query(
