@@ -23,6 +23,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TREES = 100
 SAMPLE = 256
+DRAW_TASKS = 16
 EULER_GAMMA = 0.5772156649015329
 TREE_SCHEMA = (
     "tree int, rows int, feature array<int>, cut array<double>, below array<int>, "
@@ -84,6 +85,7 @@ def grow_forest(points: DataFrame, keys: Sequence[str], trees: int = TREES, samp
         points.withColumn("_hash", F.xxhash64(F.lit(RANDOM_STATE), *keys))
         .orderBy("_hash", *keys)
         .limit(trees * sample)
+        .repartition(DRAW_TASKS, "_hash")
     )
     offered = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn(
         "_draw", F.xxhash64("tree", "_hash")
