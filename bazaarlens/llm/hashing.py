@@ -23,6 +23,8 @@ GAPS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 SYMBOLS = np.random.default_rng(20240229).integers(1, 2**64, 256, dtype=np.uint64)
 LOWER_SYMBOLS = SYMBOLS.copy()
 LOWER_SYMBOLS[65:91] = SYMBOLS[97:123]
+NOT_LETTERS = np.arange(256) < 128  # separators for words of letters: all of ASCII but A-Z and a-z
+NOT_LETTERS[65:91] = NOT_LETTERS[97:123] = False
 
 
 def utf8(column) -> tuple[np.ndarray, np.ndarray]:
@@ -38,9 +40,9 @@ def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = GAPS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and each row's first word (one entry more than rows)."""
-    inside = ~GAPS[data]
+    inside = ~gaps[data]
     opens, closes = inside.copy(), inside.copy()
     edges = np.zeros(len(data) + 1, bool)
     edges[offsets] = True
@@ -81,12 +83,14 @@ def slices(offsets: np.ndarray, limit: int):
         row = stop
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, lower: bool = False, gaps: np.ndarray = GAPS
+) -> tuple[np.ndarray, np.ndarray]:
     """A hash for each word, and each row's first word; ``lower`` folds A-Z."""
     symbols, hashes, firsts, n = LOWER_SYMBOLS if lower else SYMBOLS, [], [np.zeros(1, np.int64)], 0
     for a, b in slices(offsets, SLICE_BYTES):
         part = data[offsets[a] : offsets[b]]
-        starts, ends, first = words(part, offsets[a : b + 1] - offsets[a])
+        starts, ends, first = words(part, offsets[a : b + 1] - offsets[a], gaps)
         hashes.append(spans_hash(symbols[part], starts, ends, BYTE_BASE))
         firsts.append(first[1:] + n)
         n += len(starts)

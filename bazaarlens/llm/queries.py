@@ -1,4 +1,4 @@
 """Imports every module that registers queries."""
 
-from bazaarlens.llm import language_model, packing, personal_data, quality_rules, repeats  # noqa: F401
+from bazaarlens.llm import language_model, packing, personal_data, quality_rules, repeats, toxicity  # noqa: F401
 from bazaarlens.llm.registry import ORACLES, QUERIES  # noqa: F401
