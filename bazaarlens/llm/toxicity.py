@@ -162,7 +162,8 @@ def score_toxicity(
     share = F.when(F.col("curve"), bound / curve_rows).when(F.col("toxic") == 1, rows / sizes[False, 1]).otherwise(rows / sizes[False, 0])
     folder = scratch_path(spark, "taught")
     sample = taught.filter(F.col("draw") < share).select(k, "toxic", "curve")
-    df.select(k, F.col(f"`{text}`").alias("text")).join(sample, key).select("text", "toxic", "curve").write.parquet(folder)
+    # the sample's ids are bounded by ``bound``, so the texts stay where they are
+    df.select(k, F.col(f"`{text}`").alias("text")).join(F.broadcast(sample), key).select("text", "toxic", "curve").write.parquet(folder)
     sample = spark.read.schema("text string, toxic int, curve boolean").parquet(folder)
 
     model = spark.sparkContext.broadcast(fit(sample.filter("not curve")))
