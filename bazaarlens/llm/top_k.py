@@ -173,7 +173,8 @@ def search_top_k(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_i
         """Each query block meets each group; ``wanted`` filters (query, group) pairs before they travel."""
         left = vectors.filter(F.col("group").between(groups.start, groups.stop - 1)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
         right = asked.withColumn("group", F.explode(F.sequence(F.lit(groups.start), F.lit(groups.stop - 1)))).filter(wanted)
-        return left.groupBy("group", "block").cogroup(right.groupBy("group", "block")).applyInArrow(lambda a, b: search(a, b), FOUND)
+        right = right.select(*[F.col(c).alias(c) for c in right.columns])  # names of its own: both sides come from one table
+        return left.groupBy("group", "block").cogroup(right.groupBy("group", "block")).applyInArrow(search, FOUND)
 
     first = meet(queries.withColumn("bound", F.lit(None).cast("long")), range(0, 1), F.lit(True))
     first.write.parquet(folder + "/first")
