@@ -140,19 +140,19 @@ def _check_sql() -> str:
     pairs = "list_transform(generate_series(1, len({0}) - 1), lambda i: {0}[i] || ' ' || {0}[i + 1])".format
     rows = ", ".join(f"('{n}', {t}, '{x}')" for n, texts in TEMPLATES.items() for t, x in enumerate(texts))
     width = 2 * STRIDE - 1
-    return f"""with t as (select *, cast(ceil(len(w) / {STRIDE}.0) as bigint) n_segments from (select column0 license, column1 template, {words('column2')} w from (values {rows}))),
+    return f"""with t as (select *, cast(ceil(len(w) / {STRIDE}.0) as bigint) n_segments from (select col0 license, col1 template, {words('col2')} w from (values {rows}))),
     s as (select license, template, n_segments, segment, w[n * segment // n_segments + 1:n * (segment + 1) // n_segments] w
         from (select *, len(w) n, unnest(range(0, n_segments)) segment from t)),
     seg as (select license, template, n_segments, segment, unnest(x) sh, len(x) total from (select *, list_distinct({pairs('w')}) x from s)),
     d as (select row_number() over () row_id, doc_id, {words("coalesce(text, '')")} w from documents),
     p as (select row_id, doc_id, unnest(generate_series(0, len(w) - 2)) i, unnest({pairs('w')}) sh from d where len(w) > 1),
     hit as (select p.*, license, template, n_segments, segment, total from p join seg using (sh)),
-    met as (select row_id, doc_id, license, template, n_segments, segment, at, count(distinct sh) / any_value(total) contained
-        from (select *, unnest([i // {STRIDE} * {STRIDE}, i // {STRIDE} * {STRIDE} - {STRIDE}]) at from hit)
-        where at >= 0 and i < at + {width} group by all having contained >= {CONTAINED}),
-    best as (select row_id, doc_id, license, template, n_segments, segment, max(contained) contained, min(at) at from met group by all),
-    f as (select row_id, doc_id, license, template, n_segments, count(*) n, avg(contained) c, min(at) at from best group by all having n >= {FOUND} * n_segments)
-    select doc_id, license, min(at)::bigint window_start, max(n) n_segments, round(max(c), 6) containment from f group by row_id, doc_id, license"""
+    met as (select row_id, doc_id, license, template, n_segments, segment, pos, count(distinct sh) / any_value(total) contained
+        from (select *, unnest([i // {STRIDE} * {STRIDE}, i // {STRIDE} * {STRIDE} - {STRIDE}]) pos from hit)
+        where pos >= 0 and i < pos + {width} group by all having contained >= {CONTAINED}),
+    best as (select row_id, doc_id, license, template, n_segments, segment, max(contained) contained, min(pos) pos from met group by all),
+    f as (select row_id, doc_id, license, template, n_segments, count(*) n, avg(contained) c, min(pos) pos from best group by all having n >= {FOUND} * n_segments)
+    select doc_id, license, min(pos)::bigint window_start, max(n) n_segments, round(max(c), 6) containment from f group by row_id, doc_id, license"""
 
 
 @query("op4_license_scan", _check_sql())
