@@ -165,7 +165,7 @@ def learn_weights(cells: list[tuple[int, int]], order: int, vocabulary: int, rou
     """Mixture weights by context bucket, uniform first, by expectation-maximisation over quantised estimates."""
     weights = np.full((BUCKETS, order + 1), 1 / (order + 1))
     if not cells:
-        return weights
+        return np.eye(1, order + 1).repeat(BUCKETS, 0)
     wide = 64 * STEPS
     cell, n = np.array(cells, np.int64).T
     parts = np.empty((len(cell), order + 1))
@@ -224,7 +224,7 @@ def score_texts(
     the log10 probability under add-one unigrams, and under the interpolated model.
     """
     spark = df.sparkSession
-    df = df.select(F.col(f"`{key}`"), F.col(f"`{text}`"), F.coalesce(train, F.lit(True)).alias(TRAIN))
+    df = df.select(F.col(f"`{key}`").cast("long").alias(key), F.col(f"`{text}`"), F.coalesce(train, F.lit(True)).alias(TRAIN))
     batched, plan = with_batches(df, key, text, batch_bytes)
     documents = batched.groupBy(BATCH)
     asked = documents.applyInArrow(_ask(order, plan.bits, text), "bucket long, batch long, blob binary, counts binary")

@@ -123,7 +123,7 @@ def find_personal_data(df: DataFrame, text: str = "text", out: str = "spans") ->
     Base kinds count by their pattern and check alone. An added span needs a score of 0.5 or more,
     to which context words nearby contribute, and must not overlap a base span.
     """
-    body = "__text"
+    body, kept = "__text", [c for c in df.columns if c != out]
     df = df.withColumn(body, F.coalesce(F.col(f"`{text}`"), F.lit("")))
     for k in KINDS:
         found = F.regexp_extract_all(F.col(body), F.lit(k.pattern), F.lit(0))
@@ -170,8 +170,7 @@ def find_personal_data(df: DataFrame, text: str = "text", out: str = "spans") ->
         & ~F.exists(F.col("__base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
     )
     df = df.withColumn("__all", F.concat("__base", added))
-    scratch = [c for c in df.columns if c.startswith("__") and c != "__all"]
-    return df.drop(*scratch, out).withColumnRenamed("__all", out)
+    return df.select(*[F.col(f"`{c}`") for c in kept], F.col("__all").alias(out))
 
 
 def redact(df: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:

@@ -33,25 +33,30 @@ STOP_WORDS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """A text passes if ``measure`` lies between ``least`` and ``most``; an absent bound doesn't count."""
+    """A text of at least ``words`` words passes if ``measure`` lies between ``least`` and ``most``; an absent bound doesn't count."""
 
     measure: str
     least: float | None = None
     most: float | None = None
+    words: int = 0
 
 
-# The base rules of the contract, then the method's own.
-BASE_RULES = (Rule("n_words", least=10), Rule("repeat_share", most=0.20))
 RULES = (
     Rule("n_words", most=1_000_000),
     Rule("mean_word_chars", 2, 15),
-    Rule("symbol_share", most=0.10),
-    Rule("stop_words", least=2),
-    Rule("dup_line_share", most=0.30),
-    Rule("open_line_share", most=0.95),
+    Rule("symbol_share", most=0.05),
+    Rule("stop_words", least=2, words=30),
+    Rule("dup_line_share", most=0.5),
+    Rule("open_line_share", most=0.95, words=30),
 )
 
 
+MEASURES = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "stop_words", "n_lines", "n_open_lines",
+    "mean_word_chars", "symbol_share", "dup_line_share", "repeat_share", "open_line_share",
+)
+
+
 def words_of(text: Column) -> Column:
     """The words of a text, in order."""
     plain = F.btrim(text, F.lit(SPACES))
@@ -60,6 +65,7 @@ def words_of(text: Column) -> Column:
 
 def measures(df: DataFrame, text: str = "text") -> DataFrame:
     """Add the measures that rules refer to."""
+    kept = df.columns
     df = df.withColumn("__text", F.coalesce(F.col(f"`{text}`"), F.lit("")))
     df = df.withColumns({"__words": words_of(F.col("__text"))})
     df = df.withColumns(
@@ -121,7 +127,7 @@ def measures(df: DataFrame, text: str = "text") -> DataFrame:
             "open_line_share": share("n_open_lines", "n_lines"),
         }
     )
-    return df.drop(*[c for c in df.columns if c.startswith("__")])
+    return df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*kept, *MEASURES])])
 
 
 def passes(rules: tuple[Rule, ...]) -> Column:
@@ -129,9 +135,9 @@ def passes(rules: tuple[Rule, ...]) -> Column:
     verdict = F.lit(True)
     for r in rules:
         if r.least is not None:
-            verdict = verdict & (F.col(r.measure) >= r.least)
+            verdict = verdict & ((F.col("n_words") < r.words) | (F.col(r.measure) >= r.least))
         if r.most is not None:
-            verdict = verdict & (F.col(r.measure) <= r.most)
+            verdict = verdict & ((F.col("n_words") < r.words) | (F.col(r.measure) <= r.most))
     return verdict
 
 
@@ -148,8 +154,8 @@ BASE_COLUMNS = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "
 def _check_sql() -> str:
     bounds = []
     for r in RULES:
-        bounds += [f"{r.measure} >= {r.least}"] if r.least is not None else []
-        bounds += [f"{r.measure} <= {r.most}"] if r.most is not None else []
+        bounds += [f"(n_words < {r.words} or {r.measure} >= {r.least})"] if r.least is not None else []
+        bounds += [f"(n_words < {r.words} or {r.measure} <= {r.most})"] if r.most is not None else []
     share = "case when {1} > 0 then {0} / {1} else 0.0 end".format
     ends = ", ".join(f"'{e}'" for e in ENDS)
     stops = ", ".join(f"'{w}'" for w in STOP_WORDS)

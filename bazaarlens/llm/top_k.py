@@ -9,8 +9,8 @@ so results are exact.
 
 Edge cases: vectors that are null, empty, without id, hold a null or non-finite component, or one of
 2**27 or more after scaling, take no part; shorter vectors count as padded with zeros; rows with a
-query's own id are not its candidates; repeated rows are candidates each; ties go to the smaller id;
-an empty table gives an empty result. Columns of the input beside id and vector are dropped.
+query's own id are not its candidates; repeated rows are candidates each, but one query, that of the
+least vector; ties go to the smaller id; an empty table gives an empty result. Columns of the input beside id and vector are dropped.
 """
 
 from __future__ import annotations
@@ -148,6 +148,7 @@ def search_top_k(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_i
     schema = "id long, v array<bigint>, norm2 long"
     vectors = spark.read.schema(schema).parquet(folder + "/all")
     queries = vectors.withColumnRenamed("id", key).filter(is_query).withColumnRenamed(key, "id")
+    queries = queries.groupBy("id").agg(F.min(F.struct("v", "norm2")).alias("q")).select("id", "q.*")
     size = vectors.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width")).first()
     n_queries = queries.count()
     if not n_queries:

@@ -148,7 +148,7 @@ def score_toxicity(
     spark = df.sparkSession
     df = df.drop("score", "predicted")
     k = F.col(f"`{key}`")
-    taught = labels.select(k, F.col(f"`{label}`").alias("toxic")).filter(F.col("toxic").isin(0, 1) & k.isNotNull()).distinct()
+    taught = labels.select(k, F.col(f"`{label}`").cast("int").alias("toxic")).filter(F.col("toxic").isin(0, 1) & k.isNotNull()).distinct()
     if learn is not None:
         taught = taught.filter(learn)
     # a fifth of the rows fits the curve, the rest the models; draws follow a hash of the id
