@@ -17,8 +17,12 @@ def np_round(value: Column, digits: int) -> Column:
 
 
 def exact_sum(value: Column) -> Column:
-    """Sum of a double money column; plain double sum for a group with a value off the grid."""
+    """Sum of a double money column; plain double sum for a group with a value off the grid.
+
+    A value is on the grid if the decimal gives the same double back.
+    """
     fixed = value.try_cast(MONEY)
+    fixed = F.when(fixed.cast("double") == value, fixed)
     return F.when(
         F.count(fixed) == F.count(value), F.sum(fixed).cast("double")
     ).otherwise(F.sum(value))
@@ -66,7 +70,18 @@ def to_whole_number(value: Column) -> Column:
 
 
 def python_float(value: Column) -> Column:
-    """Text of a double without the exponent Java uses from 1e7 on."""
-    plain = value.try_cast("decimal(30,6)").cast("string")
+    """Shortest text of a double: an exponent, of two digits or more, only below 1e-4 and from 1e16 on."""
+    java = value.cast("string")  # with an exponent below 1e-3 and from 1e7 on
+    plain = value.try_cast("decimal(38,20)").cast("string")
     trimmed = F.regexp_replace(plain, r"(\.\d+?)0+$", "$1")
-    return F.when(F.abs(value) >= 1e7, trimmed).otherwise(value.cast("string"))
+    mantissa = F.regexp_replace(F.substring_index(java, "E", 1), r"\.0$", "")
+    power = F.substring_index(java, "E", -1)
+    sign = F.when(power.startswith("-"), "-").otherwise("+")
+    digits = F.ltrim(power, F.lit("-"))
+    scientific = F.concat(mantissa, F.lit("e"), sign, F.when(F.length(digits) < 2, F.lpad(digits, 2, "0")).otherwise(digits))
+    size = F.abs(value)
+    return (
+        F.when(~java.contains("E"), java)
+        .when((size >= 1e-4) & (size < 1e16), trimmed)
+        .otherwise(scientific)
+    )

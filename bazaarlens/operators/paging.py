@@ -24,18 +24,26 @@ def page(df: DataFrame, order: Sequence[Column], limit: int, offset: int = 0) ->
 def page_after(
     df: DataFrame, columns: Sequence[tuple[str, bool]], last_row: dict | None, limit: int
 ) -> DataFrame:
-    """The page that follows ``last_row`` in an order given as ``(column, descending)`` pairs."""
+    """The page that follows ``last_row`` in an order given as ``(column, descending)`` pairs.
+
+    Nulls come last in either direction; :func:`key_order` gives the same order to :func:`page`.
+    """
     _check(limit, 0)
     if last_row is not None:
         beyond = F.lit(False)
         same = F.lit(True)
         for name, descending in columns:
             here, there = F.col(name), F.lit(last_row[name])
-            beyond = beyond | (same & ((here < there) if descending else (here > there)))
-            same = same & (here == there)
+            if last_row[name] is not None:  # nothing follows a null but ties
+                follows = (here < there) if descending else (here > there)
+                beyond = beyond | (same & (here.isNull() | follows))
+            same = same & here.eqNullSafe(there)
         df = df.filter(beyond)
-    order = [F.col(n).desc() if d else F.col(n).asc() for n, d in columns]
-    return df.orderBy(*order).limit(limit)
+    return df.orderBy(*key_order(columns)).limit(limit)
+
+
+def key_order(columns: Sequence[tuple[str, bool]]) -> list[Column]:
+    return [F.col(n).desc_nulls_last() if d else F.col(n).asc_nulls_last() for n, d in columns]
 
 
 def _check(limit: int, offset: int) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_KEY_ROWS = 1_000_000
+QUANTILES = [i / 200 for i in range(1, 200)]  # a key of more than 200 million rows has slices above the limit
 
 
 def with_previous(
@@ -21,41 +22,41 @@ def with_previous(
     """Add ``{new: lag(old)}`` per ``key`` in ``order``.
 
     A window sends every row of a key to one task. Keys above ``hot_rows`` rows are therefore cut
-    into slices of about that many rows along ``position`` (a number rising with ``order``; the
-    microseconds of a timestamp by default). Lag runs per (key, slice); the first row of a slice
-    takes its values from the last row of the slice before it. ``order`` must not repeat in a key.
+    into slices of about that many rows, at quantiles of ``position`` (a number rising with
+    ``order``; the microseconds of a timestamp by default), however its values cluster. Lag runs per
+    (key, slice); the first row of a slice takes its values from the last row of the slice before
+    it. ``order`` must not repeat in a key, save for nulls, which sort last.
 
-    The hot-key list has at most ``rows / hot_rows`` entries, which is the bound for broadcasting
-    it; the slice tails of one key number its rows divided by ``hot_rows``.
+    The list of hot keys and the slice tails have about ``rows / hot_rows`` entries; Spark's size
+    check decides how they travel.
     """
     position = F.unix_micros(F.col(order)) if position is None else position
     placed = df.withColumn("_pos", position.cast("double"))
     hot = (
         placed.filter(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min("_pos").alias("_lo"),
-            F.max("_pos").alias("_hi"),
-        )
+        .agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_pos", QUANTILES, 10 * len(QUANTILES)).alias("_cuts"))
         .filter(F.col("_n") > hot_rows)
-        .select(F.col(key).alias("_hot"), "_n", "_lo", "_hi")
     )
-    parts = F.ceil(F.col("_n") / F.lit(hot_rows))
-    reach = (F.col("_pos") - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
+    # every so many quantiles a cut, for slices of about hot_rows rows
+    step = F.greatest(F.lit(1), F.floor(F.lit(len(QUANTILES) + 1) * hot_rows / F.col("_n")).cast("int"))
+    chosen = F.filter(F.coalesce("_cuts", F.array().cast("array<double>")), lambda _, i: (i + 1) % step == 0)
+    hot = hot.select(F.col(key).alias("_hot"), F.array_distinct(chosen).alias("_cuts"))
     # rows without a position form the last slice of their key, as nulls sort last
-    hot_slice = F.coalesce(F.floor(reach * parts), parts)
+    hot_slice = F.when(F.col("_pos").isNull(), F.size("_cuts") + 1).otherwise(
+        F.size(F.filter("_cuts", lambda c: c < F.col("_pos")))
+    )
     # rows without a key have no previous row, so any spread will do
     slice_no = (
         F.when(F.col(key).isNull(), -2 - F.pmod(F.xxhash64(order), F.lit(4096)))
-        .when(F.col("_n").isNull(), F.lit(-1))
+        .when(F.col("_hot").isNull(), F.lit(-1))
         .otherwise(hot_slice)
     )
     is_hot = F.col(key) == F.col("_hot")
     sliced = (
-        placed.join(F.broadcast(hot), is_hot, "left")
+        placed.join(hot, is_hot, "left")
         .withColumn("_slice", slice_no.cast("bigint"))
-        .drop("_n", "_lo", "_hi", "_pos", "_hot")
+        .drop("_cuts", "_pos", "_hot")
     )
     inside = Window.partitionBy(key, "_slice").orderBy(F.col(order).asc_nulls_last())
     body = sliced.withColumn("_nth", F.row_number().over(inside))
@@ -66,7 +67,7 @@ def with_previous(
     across = Window.partitionBy(key).orderBy("_slice")
     # an inner join: with no hot key the second scan is dropped at run time
     entries = (
-        placed.join(F.broadcast(hot), is_hot)
+        placed.join(hot, is_hot)
         .groupBy(key, hot_slice.cast("bigint").alias("_slice"))
         .agg(F.max_by(tail_values, F.struct(F.col(order).isNull(), F.col(order))).alias("_tail"))
         .withColumn("_before", F.lag("_tail").over(across))

@@ -64,6 +64,21 @@ def _required(df: DataFrame, rules: TableRules) -> DataFrame:
     return df.sparkSession.createDataFrame([row], RESULT)
 
 
+def column_report(df: DataFrame, rules: TableRules) -> DataFrame:
+    """For each required column: whether the table has it, its nulls and the table's rows, in one pass."""
+    present = [c for c in rules.required if c in df.columns]
+    counts = [F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in present]
+    one_row = df.agg(F.count(F.lit(1)).alias("rows"), *counts)
+    report = [
+        F.struct(
+            F.lit(rules.dataset).alias("dataset"), F.lit(c).alias("column_name"), F.lit(c in present).alias("present"),
+            (F.col(f"n_{c}") if c in present else F.col("rows")).alias("nulls"), F.col("rows").alias("rows"),
+        )
+        for c in rules.required
+    ]
+    return one_row.select(F.inline(F.array(*report)))
+
+
 def _duplicates(column: str) -> Column:
     """Rows beyond the first per value; nulls count as one value."""
     value = F.col(column)

@@ -23,7 +23,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TREES = 100
 SAMPLE = 256
-DRAW_TASKS = 16
 EULER_GAMMA = 0.5772156649015329
 TREE_SCHEMA = (
     "tree int, rows int, feature array<int>, cut array<double>, below array<int>, "
@@ -78,18 +77,15 @@ def _grow(sample: pd.DataFrame) -> pd.DataFrame:
 def grow_forest(points: DataFrame, keys: Sequence[str], trees: int = TREES, sample: int = SAMPLE) -> DataFrame:
     """One row per tree.
 
-    Hash order is the random order, so a retried task draws the same rows. The pool holds
-    ``trees * sample`` rows at most; every tree draws its own ``sample`` from it.
+    Hash order is the random order, so a retried task draws the same rows. Every tree draws from the
+    whole table: in one scan, a row offers itself to the trees whose hash of it falls under a
+    threshold that leaves about twice ``sample`` rows to each, and each tree keeps its first ``sample``.
     """
-    pool = (
-        points.withColumn("_hash", F.xxhash64(F.lit(RANDOM_STATE), *keys))
-        .orderBy("_hash", *keys)
-        .limit(trees * sample)
-        .repartition(DRAW_TASKS, "_hash")
-    )
-    offered = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn(
-        "_draw", F.xxhash64("tree", "_hash")
-    )
+    share = min(1.0, 2 * sample / max(points.count(), 1))
+    hashed = points.withColumn("_hash", F.xxhash64(F.lit(RANDOM_STATE), *keys))
+    every = F.sequence(F.lit(0), F.lit(trees - 1))
+    draw = F.filter(every, lambda t: F.pmod(F.xxhash64(t, "_hash"), F.lit(1 << 40)) < int(share * (1 << 40)))
+    offered = hashed.withColumn("tree", F.explode(draw)).withColumn("_draw", F.xxhash64("tree", "_hash"))
     place = F.row_number().over(Window.partitionBy("tree").orderBy("_draw", "_hash"))
     drawn = offered.withColumn("_place", place).filter(F.col("_place") <= sample)
     return drawn.select("tree", "_draw", "x").groupBy("tree").applyInPandas(_grow, TREE_SCHEMA)
@@ -102,7 +98,7 @@ def isolation_scores(
     trees: int = TREES,
     sample: int = SAMPLE,
 ) -> DataFrame:
-    """``keys`` and ``isolation_score`` in (0, 1]; higher is more isolated.
+    """``features`` with ``isolation_score`` in (0, 1]; higher is more isolated.
 
     The grown forest is fetched once: at most ``trees`` rows of ``2 * sample`` nodes, a size that
     does not depend on the table.
@@ -116,8 +112,8 @@ def isolation_scores(
     usual = average_path(forest[0]["rows"]) if forest else 1.0
 
     @F.pandas_udf("double")
-    def score(x: pd.Series) -> pd.Series:
-        matrix = np.array(x.tolist(), dtype=float).reshape(len(x), -1)
+    def score(*values: pd.Series) -> pd.Series:
+        matrix = np.column_stack([v.to_numpy(float) for v in values])
         depth = np.zeros(len(matrix))
         every = np.arange(len(matrix))
         for feature, cut, below, above, path in grown:
@@ -129,6 +125,6 @@ def isolation_scores(
                 node = np.where(value <= cut[node], below[node], above[node])
                 moving = feature[node] >= 0
             depth += path[node]
-        return pd.Series(np.power(2.0, -depth / len(grown) / max(usual, 1e-12)))
+        return pd.Series(np.power(2.0, -depth / max(len(grown), 1) / max(usual, 1e-12)))
 
-    return points.select(*keys, score("x").alias("isolation_score"))
+    return features.withColumn("isolation_score", score(*numbers))

@@ -41,12 +41,13 @@ def iqr_bounds(df: DataFrame, value: Column) -> tuple[Column, Column]:
     return low - reach, high + reach
 
 
-def detect_anomalies(features: DataFrame, isolation: DataFrame | None = None) -> DataFrame:
-    """Z-score and interquartile flags on coverage, combined with an optional isolation score.
+def detect_anomalies(features: DataFrame) -> DataFrame:
+    """Z-score and interquartile flags on coverage, combined with the isolation score if there is one.
 
-    ``isolation`` holds ``category_id, snapshot_date_key, isolation_score``
-    (:func:`bazaarlens.plans.isolation.isolation_scores`).
+    :func:`bazaarlens.plans.isolation.isolation_scores` adds the column ``isolation_score``.
     """
+    scored = "isolation_score" in features.columns
+    names = [c for c in features.columns if c != "isolation_score"]
     coverage = F.coalesce("catalog_coverage_score", F.lit(0.0))
     lower, upper = iqr_bounds(features, coverage)
     flagged = features.select(
@@ -55,18 +56,13 @@ def detect_anomalies(features: DataFrame, isolation: DataFrame | None = None) ->
         ((coverage < lower) | (coverage > upper)).alias("iqr_anomaly"),
         (coverage >= upper).alias("_high"),
     )
-    if isolation is None:
-        flagged = flagged.withColumn("isolation_score", F.lit(0.0))
-    else:
-        keys = ["category_id", "snapshot_date_key"]
-        flagged = flagged.join(isolation, keys, "left").withColumn(
-            "isolation_score", F.coalesce("isolation_score", F.lit(0.0))
-        )
+    isolation = F.coalesce("isolation_score", F.lit(0.0)) if scored else F.lit(0.0)
+    flagged = flagged.withColumn("isolation_score", isolation)
     anomalous = (F.col("zscore_abs") >= fixed.Z_SCORE_LIMIT) | F.col("iqr_anomaly")
     side = F.when(F.col("_high"), "high_catalog_coverage").otherwise("low_catalog_coverage")
     combined = F.greatest(F.col("zscore_abs") * fixed.Z_SCORE_SCALE, F.col("isolation_score"))
     return flagged.select(
-        *features.columns,
+        *names,
         "zscore_abs",
         "iqr_anomaly",
         "isolation_score",
@@ -163,6 +159,6 @@ def model_metadata(scores: DataFrame) -> DataFrame:
     )
 
 
-def score_categories(metrics: DataFrame, isolation: DataFrame | None = None) -> DataFrame:
-    """Mart metrics to ranked opportunity scores."""
-    return calculate_opportunity_score(detect_anomalies(build_category_features(metrics), isolation))
+def score_categories(metrics: DataFrame) -> DataFrame:
+    """Mart metrics to ranked opportunity scores, without a forest."""
+    return calculate_opportunity_score(detect_anomalies(build_category_features(metrics)))

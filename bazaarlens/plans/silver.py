@@ -24,17 +24,27 @@ _TIE = "_tie"
 
 
 def parsed(bronze: DataFrame, payload_schema: str) -> DataFrame:
-    """Envelope with the payload as struct ``p``; optional envelope columns absent here are null."""
+    """Envelope with the payload as struct ``p``; optional envelope columns absent here are null.
+
+    Records whose payload is not JSON are left to :func:`broken_payloads`, so that a broken one
+    never replaces an older valid one. Only payloads without a single field are looked at twice.
+    """
     have = set(bronze.columns)
     column = {c: F.col(c) if c in have else F.lit(None).cast("string") for c in schemas.ENVELOPE}
-    return bronze.select(
+    rows = bronze.select(
         parse_utc(column["ingested_at"]).alias("ingested_at"),
         column["source"].cast("string").alias("source"),
         column["endpoint"].alias("endpoint"),
         column["record_id"].alias("record_id"),
         parse_object(column["payload"], payload_schema).alias("p"),
         F.xxhash64(column["payload"]).alias(_TIE),
+        column["payload"].alias("_payload"),
     )
+    blank = F.lit(True)
+    for name in rows.schema["p"].dataType.names:
+        blank = blank & F.col("p").getField(name).isNull()
+    broken = F.when(blank, json_kind(F.col("_payload")) == "invalid").otherwise(False)
+    return rows.filter(~broken).drop("_payload")
 
 
 def latest_by_record(records: DataFrame) -> DataFrame:

@@ -49,10 +49,13 @@ def write_bronze(records: DataFrame, root: str, entity: str, many_days: bool = F
         dated = by_date(dated, PARTITIONS, F.xxhash64("payload"))
     counted = dated.observe(seen, F.count(F.lit(1)).alias("rows"))
     counted.write.mode("append").partitionBy(*PARTITIONS).parquet(f"{root}/parquet/{entity}")
-    head = F.to_json(F.struct(*ENVELOPE[:-1]), {"ignoreNullFields": "false"})
-    line = F.concat(
-        F.regexp_replace(head, r"\}$", ', "payload": '), F.coalesce("payload", F.lit("null")), F.lit("}")
+    # in valid JSON, line feeds only stand between tokens; a broken payload stays as a JSON string
+    quoted = F.to_json(F.array("payload"))
+    value = F.when(F.try_parse_json("payload").isNotNull(), F.translate("payload", "\r\n", "  ")).otherwise(
+        F.substring(quoted, F.lit(2), F.length(quoted) - 2)
     )
+    head = F.to_json(F.struct(*ENVELOPE[:-1]), {"ignoreNullFields": "false"})
+    line = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(', "payload": '), F.coalesce(value, F.lit("null")), F.lit("}"))
     lines = dated.select(line.alias("value"), *PARTITIONS)
     lines.write.mode("append").partitionBy(*PARTITIONS).text(f"{root}/jsonl/{entity}")
     return int(seen.get["rows"])

@@ -71,9 +71,14 @@ def price_snapshot_payloads(df: DataFrame, payload: str = "payload") -> DataFram
 
 
 def merge_id(df: DataFrame, payload: str, requested_id: str) -> DataFrame:
-    """Description payloads under the requested id; an id inside the payload wins."""
+    """Description payloads with the requested id inside, and as ``id``; an id already inside wins."""
     inner = F.get_json_object(F.col(payload), "$.id")
-    return df.withColumn("id", F.coalesce(inner, F.col(requested_id).cast("string")))
+    fields = F.map_filter(F.from_json(F.col(payload), "map<string,variant>"), lambda k, _: k != "id")
+    asked = F.col(requested_id).cast("string")
+    own = F.map_from_arrays(F.array(F.lit("id")), F.array(F.parse_json(F.to_json(F.array(asked)))))
+    one = F.transform_values(own, lambda _, v: F.variant_get(v, "$[0]", "variant"))
+    merged = F.when(inner.isNull() & fields.isNotNull(), F.to_json(F.map_concat(one, fields))).otherwise(F.col(payload))
+    return df.withColumn("id", F.coalesce(inner, asked)).withColumn(payload, merged)
 
 
 def distinct_ids(df: DataFrame, column: str) -> DataFrame:

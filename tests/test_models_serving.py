@@ -51,7 +51,7 @@ def test_isolation_forest_properties(spark):
     assert max(first, key=first.get) == "C000"
     again = {r["category_id"]: r["isolation_score"] for r in rows(isolation.isolation_scores(df.repartition(7)))}
     assert again == first
-    flagged = scoring.detect_anomalies(df, isolation.isolation_scores(df))
+    flagged = scoring.detect_anomalies(isolation.isolation_scores(df))
     assert all(r["anomaly_score"] >= round(r["isolation_score"], 4) - 1e-9 for r in rows(flagged))
 
 

@@ -160,9 +160,6 @@ QUESTIONS = [
     "Bom dia",
 ]
 
-# small files, so that tables of test size still spread over all cores
-ROWS_PER_FILE = 50_000
-
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
@@ -185,7 +182,7 @@ class Lake:
         key = (self.spark.sparkContext.applicationId, self.dir, name)
         if key not in _STORED:
             path = scratch_path(self.spark, name)
-            write_table(build(), path, ROWS_PER_FILE)
+            write_table(build(), path)
             _STORED[key] = path
         return read_table(self.spark, _STORED[key])
 
@@ -376,17 +373,19 @@ class Lake:
         return envelope(rows, "payload", "public_api", F.col("endpoint"), F.col("landed"))
 
     def _bronze_item_descriptions(self) -> DataFrame:
-        """Every document as a description, after an older empty revision."""
+        """Every document as a description, after an older empty revision; and items without a text."""
         docs = self.raw("documents")
         item = F.concat(F.lit("D"), F.col("doc_id"))
-        text = F.when(F.col("lang") != "de", F.col("text"))
-        newer = F.struct(item.alias("id"), text.alias("plain_text"))
+        newer = F.struct(item.alias("id"), F.col("text").alias("plain_text"))
         older = F.struct(item.alias("id"), F.lit("").alias("plain_text"))
         both = F.array(
             F.struct(F.lit("2024-01-02T00:00:00Z").alias("landed"), F.to_json(newer).alias("payload")),
             F.struct(F.lit("2024-01-01T00:00:00Z").alias("landed"), F.to_json(older).alias("payload")),
         )
-        rows = docs.select(F.inline(both))
+        # items of their own without a text
+        blank = F.struct(F.concat(F.lit("N"), F.col("doc_id")).alias("id"), F.lit(None).cast("string").alias("plain_text"))
+        added = docs.filter("lang = 'de'").select(F.lit("2024-01-02T00:00:00Z").alias("landed"), F.to_json(blank).alias("payload"))
+        rows = docs.select(F.inline(both)).unionByName(added)
         return envelope(rows, "payload", "seller_api", "/items/description", F.col("landed"))
 
     # --- questions and manifests -------------------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.operators.quality import TableRules, check_table, gate
+from bazaarlens.operators.quality import TableRules, check_table, column_report, gate
 from bazaarlens.plans import gold, marts, pipeline, silver, star
 from bazaarlens.session import scratch_path
 from bazaarlens.sources.tables import append_snapshots, read_table
@@ -185,14 +185,15 @@ def rules_sql(rules: TableRules, table: str) -> str:
 @query(
     "dq_required_columns",
     """
-select 'item_details_required_columns' as name, true as passed, 'all required columns present' as details
-union all select 'lineitem_required_columns', false, 'missing=item_id,seller_id'
+select 'item_details' as dataset, 'seller_id' as column_name, true as present, count(*) - count(seller_id) as nulls, count(*) as rows from item_details
+union all select 'item_details', 'ingested_at', true, count(*) - count(ingested_at), count(*) from item_details
+union all select 'lineitem', 'l_orderkey', true, count(*) - count(l_orderkey), count(*) from lineitem
+union all select 'lineitem', 'item_id', false, count(*), count(*) from lineitem
 """,
 )
 def dq_required_columns(lake: Lake) -> DataFrame:
-    first = check_table(lake.items, TableRules("item_details", required=["item_id", "ingested_at"]))
-    second = check_table(lake.raw("lineitem"), TableRules("lineitem", required=["l_orderkey", "item_id", "seller_id"]))
-    return first.unionByName(second)
+    first = column_report(lake.items, TableRules("item_details", required=["seller_id", "ingested_at"]))
+    return first.unionByName(column_report(lake.raw("lineitem"), TableRules("lineitem", required=["l_orderkey", "item_id"])))
 
 
 DQ_ITEM_COLUMNS = ["item_id", "price", "seller_id", "status"]

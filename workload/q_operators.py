@@ -387,8 +387,7 @@ def win_pct_change(lake: Lake) -> DataFrame:
 
 @query("win_delta_stock_sold", "select item_id, snapshot_date, stock_change, sold_change from price_history")
 def win_delta_stock_sold(lake: Lake) -> DataFrame:
-    # a low limit splits the larger items into slices, the path a key with very many rows takes
-    return gold.gold_price_history(lake.prices, hot_rows=20).select(*CHANGES, "stock_change", "sold_change")
+    return gold.gold_price_history(lake.prices).select(*CHANGES, "stock_change", "sold_change")
 
 
 @query(

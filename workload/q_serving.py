@@ -47,9 +47,12 @@ def ml_iqr_outlier(lake: Lake) -> DataFrame:
     return lake.features.select("category_id", ((x < lower) | (x > upper)).alias("iqr_anomaly"))
 
 
-@query("ml_isolation_forest")
+@query("ml_isolation_forest", "select category_id, snapshot_date_key, true as in_range from features")
 def ml_isolation_forest(lake: Lake) -> DataFrame:
-    return isolation.isolation_scores(lake.features)
+    """Scores are random draws; each row has one in (0, 1]."""
+    score = F.col("isolation_score")
+    rows = isolation.isolation_scores(lake.features)
+    return rows.select("category_id", "snapshot_date_key", ((score > 0) & (score <= 1)).alias("in_range"))
 
 
 ANOMALY_SQL = f"select * exclude (upper_bound) replace ({rnd('total_items_log', 10)} as total_items_log, {rnd('zscore_abs', 10)} as zscore_abs) from anomalies"
@@ -168,7 +171,7 @@ def _scored_afresh(lake: Lake) -> DataFrame:
     root = scratch_path(lake.spark, "ml")
     write_table(scoring.build_category_features(marts.mart_category_metrics(lake.star)), f"{root}/features")
     features = read_table(lake.spark, f"{root}/features")
-    flagged = scoring.detect_anomalies(features, isolation.isolation_scores(features))
+    flagged = scoring.detect_anomalies(isolation.isolation_scores(features))
     write_table(flagged, f"{root}/anomalies")
     return scoring.calculate_opportunity_score(read_table(lake.spark, f"{root}/anomalies"))
 
@@ -634,7 +637,8 @@ from orders left join (
 
 def _map_text(column: str) :
     pairs = F.array_sort(F.map_entries(column))
-    return F.array_join(F.transform(pairs, lambda p: F.concat(p["key"], F.lit("="), p["value"].cast("string"))), ",")
+    text = F.array_join(F.transform(pairs, lambda p: F.concat(p["key"], F.lit("="), p["value"].cast("string"))), ",")
+    return F.coalesce(text, F.lit(""))
 
 
 @query(
@@ -651,12 +655,15 @@ def obs_row_counts(lake: Lake) -> DataFrame:
 @query(
     "obs_summary",
     """
-select run_id, status, started_at, finished_at, duration_seconds, task_count, all_statuses as task_statuses, total_rows_processed from runs
+select runs.run_id, status, started_at, finished_at, duration_seconds, task_count, all_statuses as task_statuses, total_rows_processed,
+    coalesce(counts, '') as row_counts
+from runs left join (select run_id, 'categories=' || cast(sum(o_rows) as bigint) || ',item_details=' || cast(sum(f_rows) as bigint) as counts
+    from run_outputs group by run_id) c on runs.run_id = c.run_id
 """,
 )
 def obs_summary(lake: Lake) -> DataFrame:
     rows = observability.summary(lake.manifests)
-    return rows.withColumn("task_statuses", _map_text("task_statuses")).drop("row_counts")
+    return rows.withColumns({c: _map_text(c) for c in ("task_statuses", "row_counts")})
 
 
 @query(
@@ -717,7 +724,7 @@ _GROUP_ROWS = "select '{0}' as entity, count(*) as rows from (select distinct l_
             "select 'item_price_snapshots', 2 * count(*) from lineitem",
             "select 'item_price_snapshots', count(distinct (l_partkey, landed)) from landed_lines",
             "select 'price_history', count(distinct (l_partkey, landed)) from landed_lines",
-            "select 'item_descriptions', 3 * count(*) from documents",
+            "select 'item_descriptions', 3 * count(*) + 2 * count(*) filter (where lang = 'de') from documents",
             "select 'public_query_metrics', count(distinct p_name) from latest_domains",
             "select 'dim_domain', count(distinct (n_name, p_brand, p_type)) from latest_domains",
             "select 'dim_seller', count(distinct l_suppkey) from latest_lines",

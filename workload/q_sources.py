@@ -136,11 +136,10 @@ from orders
 """,
 )
 def scan_json_docs(lake: Lake) -> DataFrame:
-    path = scratch_path(lake.spark, "manifests")
+    path = scratch_path(lake.spark, "manifests")  # many documents to a file
     documents.write_document(lake.manifests, path)
     fields = "run_id string, status string, query string, duration_seconds double"
-    # one document per line here; a folder of many-line documents reads the same way
-    return lake.spark.read.schema(fields).json(path)
+    return documents.read_documents(lake.spark, path, fields)
 
 
 @query(
@@ -224,7 +223,7 @@ select 'domain_discovery' as table_name, 9 as columns, 0 as rows_when_empty,
 union all select 'categories', 10, 0, (select count(distinct category_id) from landed_categories)
 union all select 'item_details', 17, 0, (select count(distinct item_id) from landed_lines)
 union all select 'item_price_snapshots', 16, 0, (select count(distinct (l_partkey, landed)) from landed_lines)
-union all select 'item_descriptions', 5, 0, (select count(distinct doc_id) from documents)
+union all select 'item_descriptions', 5, 0, (select count(distinct doc_id) + count(*) filter (where lang = 'de') from documents)
 """,
 )
 def empty_contract(lake: Lake) -> DataFrame:
@@ -513,10 +512,9 @@ def silver_item_price_snapshots(lake: Lake) -> DataFrame:
 @query(
     "silver_item_descriptions",
     """
-select 'D' || doc_id as item_id, case when lang = 'de' then '' else text end as plain_text,
-    case when lang = 'de' then 0 else length(text) end as text_length,
-    timestamp '2024-01-02 00:00:00' as ingested_at, 'seller_api' as source
-from documents
+select item_id, plain_text, length(plain_text) as text_length, timestamp '2024-01-02 00:00:00' as ingested_at, 'seller_api' as source
+from (select 'D' || doc_id as item_id, text as plain_text from documents
+    union all select 'N' || doc_id, '' from documents where lang = 'de') x
 """,
 )
 def silver_item_descriptions(lake: Lake) -> DataFrame:
@@ -532,7 +530,7 @@ select 'domain_discovery' as table_name, count(*) as rows from (select distinct
 union all select 'categories', count(distinct category_id) from landed_categories
 union all select 'item_details', count(distinct item_id) from landed_lines
 union all select 'item_price_snapshots', count(distinct (l_partkey, landed)) from landed_lines
-union all select 'item_descriptions', count(distinct doc_id) from documents
+union all select 'item_descriptions', count(distinct doc_id) + count(*) filter (where lang = 'de') from documents
 """,
 )
 def build_silver(lake: Lake) -> DataFrame:
