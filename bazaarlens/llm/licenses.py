@@ -1,7 +1,8 @@
 """License notices: MinHash bands over overlapping text windows retrieve templates, shingles verify them.
 
-A template is cut into segments of at most ``STRIDE`` words. Windows of two strides overlap by one, so
-wherever a segment stands in a text, one window holds it whole. That window and a segment of ``m``
+A template is cut into segments of at most ``STRIDE + 1`` words, the last ones overlapping so that none
+is short. Windows of two strides overlap by one, so wherever a segment stands in a text, one window
+holds it whole. That window and a segment of ``m``
 words share ``m - 1`` of the window's two-word shingles, a known least similarity; the number of bands
 follows from it, so that each window with a whole segment shares a band with it with probability
 ``RECALL`` or more. Windows found that way are verified by exact containment of the segment's shingles.
@@ -23,11 +24,11 @@ from pyspark.sql import functions as F
 
 from bazaarlens.llm.registry import query, table
 
-STRIDE = 8  # words
+STRIDE = 5  # words
 RECALL = 0.999  # of windows that hold a whole segment
 CONTAINED = 0.8  # share of a segment's shingles that a window must hold
 FOUND = 0.6  # share of a template's segments that a text must hold
-LEAST_WORDS = 5  # of a segment
+LEAST_WORDS = 5  # of a template, and so of a segment
 
 # Short notices and opening sentences of common licenses.
 TEMPLATES = {
@@ -64,7 +65,6 @@ def bands_for(words: int, recall: float = RECALL) -> int:
 
 BANDS = bands_for(LEAST_WORDS)
 SEEDS = [int(x) for x in np.random.default_rng(7).integers(-(2**63), 2**63 - 1, BANDS)]
-NONE = 2**63 - 1
 
 
 def words_of(text: Column) -> Column:
@@ -80,23 +80,24 @@ def shingles_of(words: str) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
 
-def band_values(window: str) -> list[Column]:
-    """Least value of a window's shingles under each seed; ``window`` is a column of at most 2 * STRIDE - 1 hashes."""
-    places = [F.get(window, F.lit(i)) for i in range(2 * STRIDE - 1)]
-    return [F.least(*[F.coalesce(p.bitwiseXOR(F.lit(s)), F.lit(NONE)) for p in places]) for s in SEEDS]
+def band_values(window: str) -> Column:
+    """Least value of a window's shingles under each seed; ``window`` is a column of hashes."""
+    return F.transform(F.array(*map(F.lit, SEEDS)), lambda seed: F.array_min(F.transform(window, lambda h: h.bitwiseXOR(seed))))
 
 
 def segments(spark: SparkSession, templates: dict[str, tuple[str, ...]] = TEMPLATES) -> list[dict]:
-    """Every template cut into equal parts: license, template, n_segments, segment, shingles, and a value for each band."""
+    """Every template cut into parts of equal length: license, template, n_segments, segment, shingles, and a value for each band."""
     texts = [(name, t, text) for name, own in templates.items() for t, text in enumerate(own)]
     df = spark.createDataFrame(texts, "license string, template int, text string").withColumn("words", words_of(F.col("text")))
     df = df.withColumn("shingles", shingles_of("words")).withColumn("n", F.size("words"))
     out = []
     for r in df.collect():  # as many rows as there are templates
-        parts = math.ceil(r["n"] / STRIDE)
-        cuts = [r["n"] * i // parts for i in range(parts + 1)]
-        for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
-            own = sorted(set(r["shingles"][lo : hi - 1]))
+        if r["n"] < LEAST_WORDS:
+            raise ValueError(f"a template of {r['license']} has fewer than {LEAST_WORDS} words")
+        parts = math.ceil(r["n"] / (STRIDE + 1))
+        for i in range(parts):
+            lo = (r["n"] - STRIDE - 1) * i // (parts - 1) if parts > 1 else 0
+            own = sorted(set(r["shingles"][lo : lo + STRIDE]))
             values = [min(h ^ s for h in own) for s in SEEDS]
             out.append({"license": r["license"], "template": r["template"], "n_segments": parts, "segment": i, "shingles": own, "values": values})
     return out
@@ -113,7 +114,7 @@ def find_licenses(df: DataFrame, key: str = "doc_id", text: str = "text", templa
     starts = F.when(F.size("shingles") > 0, F.sequence(F.lit(0), F.size("shingles") - 1, F.lit(STRIDE)))
     windows = F.transform(starts, lambda at: F.struct(at.alias("at"), F.slice("shingles", at + 1, F.lit(2 * STRIDE - 1)).alias("window")))
     df = df.select("row", "doc_id", F.explode(windows).alias("w")).select("row", "doc_id", "w.at", "w.window")
-    df = df.withColumn("bands", F.array(*band_values("window")))
+    df = df.withColumn("bands", band_values("window"))
     # values of different bands differ by their seeds, so one set of all templates' values will do
     values = [v for p in known for v in p]
     df = df.filter(F.exists("bands", lambda v: v.isin(values)))
@@ -140,9 +141,9 @@ def _check_sql() -> str:
     pairs = "list_transform(generate_series(1, len({0}) - 1), lambda i: {0}[i] || ' ' || {0}[i + 1])".format
     rows = ", ".join(f"('{n}', {t}, '{x}')" for n, texts in TEMPLATES.items() for t, x in enumerate(texts))
     width = 2 * STRIDE - 1
-    return f"""with t as (select *, cast(ceil(len(w) / {STRIDE}.0) as bigint) n_segments from (select col0 license, col1 template, {words('col2')} w from (values {rows}))),
-    s as (select license, template, n_segments, segment, w[n * segment // n_segments + 1:n * (segment + 1) // n_segments] w
-        from (select *, len(w) n, unnest(range(0, n_segments)) segment from t)),
+    return f"""with t as (select *, cast(ceil(len(w) / {STRIDE + 1}.0) as bigint) n_segments from (select col0 license, col1 template, {words('col2')} w from (values {rows}))),
+    s as (select license, template, n_segments, segment, w[lo + 1:lo + {STRIDE + 1}] w from (select *, case when n_segments > 1 then (n - {STRIDE + 1}) * segment // (n_segments - 1) else 0 end lo
+        from (select *, len(w) n, unnest(range(0, n_segments)) segment from t))),
     seg as (select license, template, n_segments, segment, unnest(x) sh, len(x) total from (select *, list_distinct({pairs('w')}) x from s)),
     d as (select row_number() over () row_id, doc_id, {words("coalesce(text, '')")} w from documents),
     p as (select row_id, doc_id, unnest(generate_series(0, len(w) - 2)) i, unnest({pairs('w')}) sh from d where len(w) > 1),
