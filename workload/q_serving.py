@@ -91,19 +91,33 @@ def ml_standardise(lake: Lake) -> DataFrame:
     return rows.withColumns({c: np_round(F.col(c), 8) + F.lit(0.0) for c in fixed.FEATURE_COLUMNS})
 
 
-@query("ml_kmeans_sweep")
+@query(
+    "ml_kmeans_sweep",
+    f"""
+select cast(k as int) as k, true as in_range
+from (select unnest(generate_series(2, least({fixed.MAX_CLUSTERS}, (select count(*) from scores) - 1))) as k) ks
+""",
+)
 def ml_kmeans_sweep(lake: Lake) -> DataFrame:
+    """Fits are random; each candidate has a silhouette in [-1, 1]."""
     _, candidates = fit_clusters(lake.scores)
-    return candidates
+    return candidates.select("k", F.col("silhouette_score").between(-1, 1).alias("in_range"))
 
 
 def _clusters(lake: Lake) -> DataFrame:
     return lake.stored("clusters", lambda: fit_clusters(lake.scores)[0])
 
 
-@query("ml_cluster_assign")
+@query("ml_cluster_assign", "select category_id, true as known_cluster, true as labelled, true as placed from scores")
 def ml_cluster_assign(lake: Lake) -> DataFrame:
-    return _clusters(lake).select("category_id", "cluster_id", "cluster_label", "cluster_distance")
+    """Labels are arbitrary; each row has a cluster, its label, and a distance to the nearest centre."""
+    label = F.concat(F.lit("cluster_"), F.col("cluster_id").cast("string"))
+    return _clusters(lake).select(
+        "category_id",
+        F.col("cluster_id").between(0, fixed.MAX_CLUSTERS - 1).alias("known_cluster"),
+        (F.col("cluster_label") == label).alias("labelled"),
+        (F.col("cluster_distance") >= 0).alias("placed"),
+    )
 
 
 FORECAST_SQL = """
