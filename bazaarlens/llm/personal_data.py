@@ -230,7 +230,7 @@ def _check_sql() -> str:
     return f"""with d as (select doc_id, row_number() over () row_id, coalesce(text, '') body from documents),
     f as (select * from ({kinds}) where valid)
     select d.doc_id, {counts},
-        sha256(coalesce(string_agg(concat(kind, ':', s::bigint, ':', s::bigint + length(m)), ',' order by place, i), '')) base_sha256
+        sha256(coalesce(string_agg(concat(kind, ':', s::bigint, ':', s::bigint + length(m)), ',' order by place, i) filter (where kind is not null), '')) base_sha256
     from d left join f using (row_id) group by d.doc_id, d.row_id"""
 
 
