@@ -13,6 +13,7 @@ that are not the result's are dropped, since the result has a row for each piece
 from __future__ import annotations
 
 import math
+import struct
 import sys
 import zlib
 from collections.abc import Iterator
@@ -24,6 +25,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bazaarlens.llm.hashing import slices
 from bazaarlens.llm.registry import query, table
 from bazaarlens.session import scratch_path
 
@@ -33,7 +35,8 @@ LENGTH = 4096
 END = 1
 SHARD = 200_000  # pieces packed by one task
 POOR = 0.98  # sequences less full than this are packed again in the second round
-CACHE_WORDS = 1_000_000  # distinct words a task remembers before it starts afresh
+CACHE_WORDS = 500_000  # distinct words a task remembers before it starts afresh
+CHUNK = 2 << 20  # bytes of text split into words at once
 TRAILING = b".,;:!?*#$%&|\"()"  # symbols that the tokenizer always splits from a preceding letter
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, place long"
@@ -53,6 +56,11 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model
+        # byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in printable]
+        self.symbols = {**{b: chr(b) for b in printable}, **{b: chr(256 + n) for n, b in enumerate(rest)}}
         self.known: dict[bytes, bytes] = {}
 
     def _tokenise(self, words: list[bytes]) -> None:
@@ -67,6 +75,17 @@ class WordIds:
         for w, a, b in zip(words, cuts[:-1].tolist(), cuts[1:].tolist()):
             self.known[w] = blob[a:b]
 
+    def _simple(self, word: bytes) -> bool:
+        """Tokenise a word of lower-case Latin letters by the merges alone: normalising and splitting leave it whole."""
+        text = word.decode()
+        if not (text.isalpha() and max(text) < "\u0250" and text == text.lower()):
+            return False
+        if not text.isascii():
+            text = "".join([self.symbols[b] for b in word])
+        ids = [t.id for t in self.merges.tokenize(text)]
+        self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+        return True
+
     def learn(self, words: set[bytes]) -> None:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
@@ -77,13 +96,18 @@ class WordIds:
             if stem and len(stem) < len(w) and stem[-1:].isalpha():
                 split[w] = (stem, w[len(stem) :])
         parts = {p for pair in split.values() for p in pair}.difference(self.known)
-        todo = list(parts.union(new.difference(split)))
+        todo = [w for w in parts.union(new.difference(split)) if not self._simple(w)]
         for i in range(0, len(todo), 2000):
             self._tokenise(todo[i : i + 2000])
         for w, (stem, rest) in split.items():
             self.known[w] = self.known[stem] + self.known[rest]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text; a few texts at a time, so that only distinct words pile up."""
+        sizes = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+        return [ids for a, b in slices(sizes, CHUNK) for ids in self._encode(texts[a:b])]
+
+    def _encode(self, texts: list[bytes]) -> list[bytes]:
         # a lower-cased word must not turn into the string of a special token
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
         self.learn(set().union(*split))
@@ -186,7 +210,7 @@ def pack_documents(
     """
     spark = df.sparkSession
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
-    pieces = df.select(F.col(f"`{key}`"), F.col(f"`{text}`")).mapInArrow(_pieces(path, key, text, length, end), PIECES)
+    pieces = df.select(F.col(f"`{key}`").cast("long").alias(key), F.col(f"`{text}`")).mapInArrow(_pieces(path, key, text, length, end), PIECES)
     folder = scratch_path(spark, "pieces")
     pieces.write.parquet(folder + "/pieces")
     pieces = spark.read.schema(PIECES).parquet(folder + "/pieces")
