@@ -11,7 +11,7 @@ once without listing pairs. No bucket, partner or candidate is capped.
 
 Edge cases: texts of fewer than five words have one shingle, all their words; null and blank texts
 have none and stay alone without links; repeated rows are copies and link to each other; rows that
-share an id count as one node; rows without id get a null class and no links; an empty table gives an
+share an id are compared like any others; rows without id get a null class and no links; an empty table gives an
 empty result. Other columns are kept by ``drop_near_duplicates``; ``near_duplicates`` returns its own.
 """
 
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +43,7 @@ LEAF = 500  # sets compared with each other without a further split; also the si
 SKETCH = 32  # least hashes of a set kept as its sketch
 ALIKE = 0.55  # share of sketch hashes in common from which a pair is compared exactly
 CHUNK = 2 << 20
+BROADCAST_ROWS = 1_000_000  # of a written table of ids; some tens of MB
 
 
 def runs_for(recall: float, rate: float = RATE, levels: int = LEVELS) -> int:
@@ -74,72 +75,86 @@ def _extend(shingles: np.ndarray, parents: np.ndarray, limit: np.uint64) -> tupl
     return parent, mix(h[parent, at] + parents[parent] * np.uint64(0x9E3779B97F4A7C15))
 
 
-def paths(shingles: np.ndarray, seeds: np.ndarray, similarity: float) -> np.ndarray:
-    """Rows of three nodes, one level each; 0 where a path has ended."""
-    limit = np.uint64(min(2**64 - 1, int(RATE / (similarity * len(shingles)) * 2.0**64)))
-    _, one = _extend(shingles, seeds, limit)
-    up2, two = _extend(shingles, one, limit)
-    up3, three = _extend(shingles, two, limit)
-    zero = lambda n: np.zeros(n, np.uint64)
-    end2 = np.setdiff1d(np.arange(len(two)), up3)
-    end1 = np.setdiff1d(np.arange(len(one)), up2)
-    return np.concatenate(
-        [
-            np.column_stack((one[up2[up3]], two[up3], three)),
-            np.column_stack((one[up2[end2]], two[end2], zero(len(end2)))),
-            np.column_stack((one[end1], zero(len(end1)), zero(len(end1)))),
-        ]
-    )
+def tree(shingles: np.ndarray, seeds: np.ndarray, similarity: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The nodes of a set level by level, each with the place of its parent, in the order of parents."""
+    limit = np.uint64(min(2**64 - 1, int(RATE / (similarity * len(shingles)) * 2.0**64))) if len(shingles) else np.uint64(0)
+    levels, nodes = [], seeds
+    for _ in range(LEVELS):
+        parent, nodes = _extend(shingles, nodes, limit)
+        levels.append((parent, nodes))
+    return levels
+
+
+def _nested(trees: list[list[tuple[np.ndarray, np.ndarray]]]) -> pa.Array:
+    """Trees as lists of (node, below) structs; the nodes of the last level are bare."""
+    column = pa.array(np.concatenate([np.zeros(0, np.uint64), *(t[-1][1] for t in trees)]).view(np.int64))
+    for level in range(LEVELS - 1, 0, -1):
+        counts = [np.bincount(t[level][0], minlength=len(t[level - 1][1])) for t in trees]
+        offsets = np.concatenate(([0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *counts])))).astype(np.int32)
+        nodes = np.concatenate([np.zeros(0, np.uint64), *(t[level - 1][1] for t in trees)]).view(np.int64)
+        column = pa.StructArray.from_arrays([pa.array(nodes), pa.ListArray.from_arrays(pa.array(offsets), column)], ["node", "below"])
+    offsets = np.concatenate(([0], np.cumsum([len(t[0][1]) for t in trees]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), column)
+
+
+NODES = "array<struct<node:long,below:array<struct<node:long,below:array<long>>>>>"
+DESCRIBED = f"doc_id long, place long, k1 long, k2 long, n long, sketch binary, nodes {NODES}"
 
 
-DESCRIBED = "doc_id long, k1 long, k2 long, n long, sketch binary, p1 array<long>, p2 array<long>, p3 array<long>"
+def _key(s: np.ndarray) -> tuple[int, int, int]:
+    """Two sums over a set that do not depend on order, and its size."""
+    return int(mix(s).sum().view(np.int64)) if len(s) else 0, int(np.bitwise_xor.reduce(s).view(np.int64)) if len(s) else 0, len(s)
+
+
+def _columns(sets: list[np.ndarray]) -> list[pa.Array]:
+    return [pa.array(c, pa.int64()) for c in zip(*map(_key, sets))] if sets else [pa.array([], pa.int64())] * 3
 
 
 def _describe(runs: int, similarity: float):
     seeds = mix(np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = TaskContext.get().partitionId() << 40
         for batch in batches:
-            k1, k2, n, sketches, nodes = [], [], [], [], []
+            sets, sketches, trees = [], [], []
             for s in shingle_sets(*utf8(batch["text"])):
-                k1.append(int(mix(s).sum().view(np.int64)) if len(s) else 0)
-                k2.append(int(np.bitwise_xor.reduce(s).view(np.int64)) if len(s) else 0)
-                n.append(len(s))
+                sets.append(s)
                 sketches.append((s[:SKETCH] >> np.uint64(32)).astype("<u4").tobytes())
-                nodes.append(paths(s, seeds, similarity) if len(s) else np.zeros((0, 3), np.uint64))
-            offsets = pa.array(np.concatenate(([0], np.cumsum([len(p) for p in nodes]))), pa.int32())
-            flat = np.concatenate([np.zeros((0, 3), np.uint64), *nodes]).view(np.int64)
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(flat[:, i]))) for i in range(3)]
+                trees.append(tree(s, seeds, similarity))
+            places = pa.array(np.arange(place, place + len(sets)))
+            place += len(sets)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], *(pa.array(x, pa.int64()) for x in (k1, k2, n)), pa.array(sketches, pa.binary()), *lists],
-                ["doc_id", "k1", "k2", "n", "sketch", "p1", "p2", "p3"],
+                [batch["doc_id"], places, *_columns(sets), pa.array(sketches, pa.binary()), _nested(trees)],
+                ["doc_id", "place", "k1", "k2", "n", "sketch", "nodes"],
             )
 
     return describe
 
 
-def _leaves(classes: DataFrame, leaf: int) -> DataFrame:
-    """(rep, leaf, m): the leaves of all paths that hold two sets or more, and how many they hold."""
-    at_one = classes.select("rep", F.explode(F.array_distinct("p1")).alias("node"))
-    threes = classes.select("rep", F.explode(F.arrays_zip("p1", "p2", "p3")).alias("p")).select("rep", "p.*")
+def _beside(df: DataFrame) -> DataFrame:
+    """A written table, sent to every task if it has at most ``BROADCAST_ROWS`` rows; else Spark shuffles."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
-    def sized(members: DataFrame) -> DataFrame:
-        return members.groupBy("node").agg(F.count("*").alias("m")).filter("m > 1")
 
-    def below(sizes: DataFrame, level: str, next_: str) -> DataFrame:
-        large = sizes.filter(F.col("m") > leaf).select(F.col("node").alias(level))
-        return threes.join(large, level, "left_semi").filter(F.col(next_) != 0)
+def _leaves(classes: DataFrame, leaf: int, folder: str) -> DataFrame:
+    """(rep, leaf, m): the leaves of all paths that hold two sets or more, and how many they hold.
 
-    found = []
-    members, sizes = at_one, sized(at_one)
-    found.append(members.join(sizes.filter(F.col("m") <= leaf), "node"))
-    members = below(sizes, "p1", "p2").select("rep", F.col("p2").alias("node")).distinct()
-    sizes = sized(members)
-    found.append(members.join(sizes.filter(F.col("m") <= leaf), "node"))
-    members = below(sizes, "p2", "p3").select("rep", F.col("p3").alias("node")).distinct()
-    found.append(members.join(sized(members), "node"))
-    out = found[0].unionByName(found[1]).unionByName(found[2])
-    return out.select("rep", F.col("node").alias("leaf"), "m")
+    Nodes too large for a leaf are few; only sets in them look at their next level.
+    """
+    spark, found = classes.sparkSession, []
+    members = classes.select("rep", F.explode("nodes").alias("o")).select("rep", "o.*")
+    for level in range(1, LEVELS + 1):
+        path = f"{folder}/sizes{level}"
+        members.groupBy("node").agg(F.count("*").alias("m")).filter("m > 1").write.parquet(path)
+        sizes = spark.read.schema("node long, m long").parquet(path)
+        last = level == LEVELS
+        small = sizes if last else sizes.filter(F.col("m") <= leaf)
+        found.append(members.select("rep", "node").join(small, "node").select("rep", F.col("node").alias("leaf"), "m"))
+        if not last:
+            large = _beside(sizes.filter(F.col("m") > leaf).select("node"))
+            below = members.join(large, "node", "left_semi").select("rep", F.explode("below").alias("o"))
+            members = below.select("rep", "o.*") if level < LEVELS - 1 else below.select("rep", F.col("o").alias("node"))
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 def _cells(rows: DataFrame, leaf: int) -> DataFrame:
@@ -272,8 +287,9 @@ def _verify(similarity: float):
 
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [s.astype("<u8").tobytes() for s in shingle_sets(*utf8(batch["text"]))]
-        yield pa.RecordBatch.from_arrays([batch["rep"], pa.array(sets, pa.binary())], ["rep", "shingles"])
+        sets = list(shingle_sets(*utf8(batch["text"])))
+        shingles = pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], *_columns(sets), shingles], ["doc_id", "k1", "k2", "n", "shingles"])
 
 
 def near_duplicates(
@@ -292,13 +308,16 @@ def near_duplicates(
     described.write.parquet(folder + "/described")
     described = spark.read.schema(DESCRIBED).parquet(folder + "/described")
     keys = ["k1", "k2", "n"]
-    whole = described.filter("n > 0").groupBy(*keys).agg(F.min(F.struct("doc_id", "sketch", "p1", "p2", "p3")).alias("r"), F.count("*").alias("copies"))
-    whole.select(*keys, "copies", F.col("r.doc_id").alias("rep"), "r.sketch", "r.p1", "r.p2", "r.p3").write.parquet(folder + "/classes")
-    classes = spark.read.parquet(folder + "/classes")
+    light = described.filter("n > 0").groupBy(*keys).agg(F.min(F.struct("doc_id", "place")).alias("r"), F.count("*").alias("copies"))
+    light.select(F.col("r.place").alias("rep"), "r.doc_id", *keys, "copies").write.parquet(folder + "/classes")
+    classes = spark.read.schema("rep long, doc_id long, k1 long, k2 long, n long, copies long").parquet(folder + "/classes")
+    # a class is known by the place of its least row, and described by that row
+    first = described.select(F.col("place").alias("rep"), "sketch", "nodes").join(_beside(classes.select("rep", "n", "copies")), "rep")
 
     # a set's leaves travel with it, to tell where a pair is settled
-    lists = _leaves(classes, leaf).groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("leaf", "m"))).alias("own"))
-    members = lists.join(classes.select("rep", "n", "copies", "sketch"), "rep")
+    lists = _leaves(first.select("rep", "nodes"), leaf, folder)
+    lists = lists.groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("leaf", "m"))).alias("own"))
+    members = lists.join(first.select("rep", "n", "copies", "sketch"), "rep")
     members = members.withColumn("leaves", F.col("own.leaf")).select("*", F.explode("own").alias("o")).select(
         "rep", "n", "copies", "sketch", "leaves", "o.leaf", "o.m"
     )
@@ -308,16 +327,25 @@ def near_duplicates(
     cells.mapInArrow(_candidates(similarity), schema).write.parquet(folder + "/candidates")
     candidates = spark.read.schema(schema).parquet(folder + "/candidates")
 
-    texts = rows.select(F.col("doc_id").alias("rep"), "text").join(candidates.select("rep").distinct(), "rep", "left_semi")
-    sets = texts.dropDuplicates(["rep"]).mapInArrow(_whole_sets, "rep long, shingles binary")
+    candidates.select("rep").distinct().join(classes.select("rep", "doc_id", *keys), "rep").write.parquet(folder + "/wanted")
+    wanted = spark.read.schema("rep long, doc_id long, k1 long, k2 long, n long").parquet(folder + "/wanted")
+    texts = rows.join(_beside(wanted.select("doc_id")), "doc_id", "left_semi")
+    sets = texts.mapInArrow(_whole_sets, "doc_id long, k1 long, k2 long, n long, shingles binary")
+    sets = sets.join(_beside(wanted), ["doc_id", *keys]).select("rep", "shingles").dropDuplicates(["rep"])
     pairs = candidates.join(sets, "rep").repartition(*cell).sortWithinPartitions(*cell)
     pairs.mapInArrow(_verify(similarity), "rep long, links long, root long").write.parquet(folder + "/links")
     links = spark.read.schema("rep long, links long, root long").parquet(folder + "/links")
 
-    named = components(links.select(F.col("rep").alias("u"), F.col("root").alias("v")))
+    named = components(links.select(F.col("rep").alias("u"), F.col("root").alias("v"))).withColumnRenamed("node", "rep")
+    grouped = classes.join(named, "rep")
+    grouped = grouped.groupBy("component").agg(F.min("doc_id").alias("class_id")).join(named, "component").select("rep", "class_id")
     counted = links.groupBy("rep").agg(F.sum("links").alias("links"))
-    told = classes.select(*keys, "rep", "copies").join(counted, "rep", "left").join(named.withColumnRenamed("node", "rep"), "rep", "left")
-    told = told.select(*keys, F.col("rep").alias("copy_of"), F.coalesce("component", "rep").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    told = classes.join(counted, "rep", "left").join(grouped, "rep", "left").select(
+        *keys,
+        F.col("doc_id").alias("copy_of"),
+        F.coalesce("class_id", "doc_id").alias("class_id"),
+        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+    )
     out = described.select("doc_id", *keys).join(told, keys, "left").select(
         "doc_id",
         F.coalesce("class_id", "doc_id").alias("class_id"),
@@ -331,9 +359,10 @@ def near_duplicates(
 
 def drop_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The row of least id of each class, with all its columns; of rows that share this id, each stays. Rows without id stay."""
+    folder = scratch_path(df.sparkSession, "later")
     found = near_duplicates(df, key, text, **options)
-    later = found.filter("doc_id <> class_id").select(F.col("doc_id").alias(key)).distinct()
-    return df.join(later, key, "left_anti")
+    found.filter("doc_id <> class_id").select(F.col("doc_id").alias(key)).distinct().write.parquet(folder)
+    return df.join(_beside(df.sparkSession.read.parquet(folder)), key, "left_anti")
 
 
 @query("op2_ngram_jaccard_join")
