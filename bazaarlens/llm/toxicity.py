@@ -4,8 +4,8 @@ Each class has a distribution of expressions from its continuation counts, the n
 words an expression follows: absolute discounting gives the mass of rare expressions to continuation
 counts shared by both classes, so those weigh little either way, and copies of a text count once. A
 text's log-likelihoods under both models, divided by length, are compared over the whole text and over
-its most telling expressions; a logistic curve, fitted on rows the models have not seen, makes the
-differences a probability. Expressions are single words: pairs of words, tried on the given labels,
+its most telling expressions; a logistic curve, fitted on the sample with each row left out of the
+models in turn, makes the differences a probability. Expressions are single words: pairs of words, tried on the given labels,
 ranked held-out rows worse (0.985 against 1.000 area under the curve).
 
 The models are fitted on a bounded sample of labelled rows (``bound`` rows a class in expectation);
@@ -62,35 +62,59 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Model:
-    """Sorted hashes of words and log P(word | toxic) - log P(word | ordinary); its size is bounded by the sample."""
+    """Continuation counts of known words by sorted hash: toxic, ordinary, either; its size is bounded by the sample."""
 
     words: np.ndarray
-    ratio: np.ndarray
-    unseen: float
-
-    def log_ratios(self, words: np.ndarray) -> np.ndarray:
+    counts: np.ndarray
+    totals: np.ndarray
+    back: np.ndarray  # mass that discounting leaves to the shared counts, by class
+
+    def ratios(self, counts: np.ndarray) -> np.ndarray:
+        """log P(word | toxic) - log P(word | ordinary); a word with one context in all counts as unseen."""
+        own = np.maximum(counts[:, :2] - DISCOUNT, 0) / self.totals[:2]
+        p = own + self.back * np.maximum(counts[:, 2:], 1) / self.totals[2]
+        return np.where(counts[:, 2] > 1, np.log(p[:, 0] / p[:, 1]), np.log(self.back[0] / self.back[1]))
+
+    def seen(self, words: np.ndarray) -> np.ndarray:
+        """The counts of each word, as numbers with a fraction part to come off."""
         if not len(self.words):
-            return np.full(len(words), self.unseen)
+            return np.zeros((len(words), 3))
         at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-        return np.where(self.words[at] == words, self.ratio[at], self.unseen)
+        return np.where((self.words[at] == words)[:, None], self.counts[at], 0).astype(float)
 
-
-def fit(labelled: DataFrame, discount: float = DISCOUNT) -> Model:
-    """Kneser-Ney models of the rows (text, toxic)."""
+    def log_ratios(self, words: np.ndarray) -> np.ndarray:
+        distinct, place = np.unique(words, return_inverse=True)
+        return self.ratios(self.seen(distinct))[place]
+
+    def left_out(self, words: np.ndarray, toxic: bool) -> np.ndarray:
+        """The same for a text of the sample, as if it had not been learned from: less its own contexts."""
+        distinct, place = np.unique(words, return_inverse=True)
+        pairs = np.unique(np.column_stack((np.concatenate(([START], words[:-1])), words)), axis=0)[:, 1]
+        own = np.bincount(np.searchsorted(distinct, pairs), minlength=len(distinct))
+        counts = self.seen(distinct)
+        counts[:, 0 if toxic else 1] -= own
+        counts[:, 2] -= own
+        return self.ratios(np.maximum(counts, 0))[place]
+
+
+def fit(labelled: DataFrame) -> Model:
+    """Kneser-Ney models of the rows (text, toxic); word counts are written to the shared folder once."""
+    spark, folder = labelled.sparkSession, scratch_path(labelled.sparkSession, "contexts")
     pairs = labelled.select("text", "toxic").mapInArrow(_contexts, "v long, w long, t long, o long")
     pairs = pairs.groupBy("v", "w").agg(F.max("t").alias("t"), F.max("o").alias("o"))
-    words = pairs.groupBy("w").agg(F.sum("t").alias("t"), F.sum("o").alias("o"), F.count("*").alias("n")).toPandas()
-    counts, shared = words[["t", "o"]].to_numpy(float), words["n"].to_numpy(float)
-    totals = np.maximum(counts.sum(0), 1)
-    back = np.maximum(np.minimum(counts, discount).sum(0), 1e-9) / totals  # the mass left to the shared counts
-    known = shared > 1  # a word with one context is a chance word and counts as unseen
-    p = np.maximum(counts[known] - discount, 0) / totals + back * shared[known, None] / max(shared.sum(), 1)
-    keys = words["w"].to_numpy(np.int64).view(np.uint64)[known]
+    words = pairs.groupBy("w").agg(*[F.sum(c).cast("int").alias(c) for c in "to"], F.count("*").cast("int").alias("n"))
+    words.write.parquet(folder)
+    words = spark.read.schema("w long, t int, o int, n int").parquet(folder)
+    sums = words.agg(*[F.sum(c) for c in "ton"], *[F.sum(F.least(F.col(c), F.lit(DISCOUNT))) for c in "to"]).first()
+    totals = np.maximum(np.array([x or 0 for x in sums[:3]], float), 1)
+    back = np.maximum(np.array([x or 0 for x in sums[3:]], float), 1e-9) / totals[:2]
+    known = words.filter("n > 1").toPandas()
+    keys = known["w"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    return Model(keys[order], np.log(p[order, 0] / p[order, 1]), float(np.log(back[0] / back[1])))
+    return Model(keys[order], known[["t", "o", "n"]].to_numpy(np.int32)[order], totals, back)
 
 
-def _compare(model, text: str, schema: pa.Schema):
+def _compare(model, text: str, schema: pa.Schema, label: str | None):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = model.value
         for batch in batches:
@@ -100,7 +124,12 @@ def _compare(model, text: str, schema: pa.Schema):
                 words, firsts = word_hashes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], True, NOT_LETTERS)
                 n = np.diff(firsts)
                 size[a:b] = n
-                ratios = known.log_ratios(words)
+                if label:
+                    toxic = batch[label].to_pylist()
+                    parts = [known.left_out(words[firsts[i] : firsts[i + 1]], toxic[a + i] == 1) for i in range(b - a) if n[i]]
+                    ratios = np.concatenate([np.zeros(0), *parts])
+                else:
+                    ratios = known.log_ratios(words)
                 mean[a:b] = np.diff(np.concatenate(([0.0], np.cumsum(ratios)))[firsts]) / np.maximum(n, 1)
                 ranked = np.sort(np.repeat(np.arange(b - a) * 1e3, n) + ratios)  # by row, then by ratio
                 for k in range(1, TELLING + 1):
@@ -112,23 +141,28 @@ def _compare(model, text: str, schema: pa.Schema):
     return compare
 
 
-def compare_models(df: DataFrame, model, text: str, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` and the difference of both log-likelihoods: over the text, over its telling words; and its words."""
+def compare_models(df: DataFrame, model, text: str, keep: list[str], label: str | None = None) -> DataFrame:
+    """The columns ``keep`` and the difference of both log-likelihoods: over the text, over its telling words; and its words.
+
+    With ``label``, rows are those of the sample, and each is compared as if it had been left out of it.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     own = [T.StructField("__mean", T.DoubleType()), T.StructField("__top", T.DoubleType()), T.StructField("__n", T.LongType())]
     schema = T.StructType([df.schema[c] for c in keep] + own)
     columns = [F.col(f"`{c}`") for c in dict.fromkeys([*keep, text])]
-    return df.select(*columns).mapInArrow(_compare(model, text, to_arrow_schema(schema)), schema)
+    return df.select(*columns).mapInArrow(_compare(model, text, to_arrow_schema(schema), label), schema)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, rounds: int = 60) -> np.ndarray:
-    """Intercept and weights of a logistic curve by Newton's method with a small ridge."""
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 0.1, rounds: int = 60) -> np.ndarray:
+    """Intercept and weights of a logistic curve of weighted rows by Newton's method, with a small ridge on the weights."""
     x = np.column_stack([np.ones(len(x)), x])
     beta, ridge = np.zeros(x.shape[1]), penalty * np.eye(x.shape[1])
+    ridge[0, 0] = 1e-3
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        beta += np.clip(np.linalg.solve(x.T * (p * (1 - p)) @ x + ridge, x.T @ (y - p) - ridge @ beta), -5, 5)
+        step = np.linalg.solve(x.T * (weight * p * (1 - p)) @ x + ridge, x.T @ (weight * (y - p)) - ridge @ beta)
+        beta += np.clip(step, -5, 5)
     return beta
 
 
@@ -151,25 +185,25 @@ def score_toxicity(
     taught = labels.select(k, F.col(f"`{label}`").cast("int").alias("toxic")).filter(F.col("toxic").isin(0, 1) & k.isNotNull()).distinct()
     if learn is not None:
         taught = taught.filter(learn)
-    # a fifth of the rows fits the curve, the rest the models; draws follow a hash of the id
+    # draws follow a hash of the id
     draw = F.pmod(F.xxhash64(k, F.lit("draw")), F.lit(1_000_000)) / 1_000_000
-    taught = taught.withColumn("draw", draw).withColumn("curve", F.pmod(F.xxhash64(k, F.lit("curve")), F.lit(5)) == 0)
-    sizes = {(r["curve"], r["toxic"]): r["n"] for r in taught.groupBy("curve", "toxic").agg(F.count("*").alias("n")).collect()}
-    rows = min(bound, sizes.get((False, 0), 0), sizes.get((False, 1), 0))
-    curve_rows = sizes.get((True, 0), 0) + sizes.get((True, 1), 0)
-    if not rows or not curve_rows:
+    sizes = {r["toxic"]: r["n"] for r in taught.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if len(sizes) < 2:
         return df.withColumn("score", F.lit(0.0)).withColumn("predicted", F.lit(0))
-    share = F.when(F.col("curve"), bound / curve_rows).when(F.col("toxic") == 1, rows / sizes[False, 1]).otherwise(rows / sizes[False, 0])
+    share = {y: min(1.0, bound / n) for y, n in sizes.items()}
+    sample = taught.filter(draw < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0])).select(k, "toxic")
     folder = scratch_path(spark, "taught")
-    sample = taught.filter(F.col("draw") < share).select(k, "toxic", "curve")
     # the sample's ids are bounded by ``bound``, so the texts stay where they are
-    df.select(k, F.col(f"`{text}`").alias("text")).join(F.broadcast(sample), key).select("text", "toxic", "curve").write.parquet(folder)
-    sample = spark.read.schema("text string, toxic int, curve boolean").parquet(folder)
+    df.select(k, F.col(f"`{text}`").alias("text")).join(F.broadcast(sample), key).select("text", "toxic").write.parquet(folder)
+    sample = spark.read.schema("text string, toxic int").parquet(folder)
 
-    model = spark.sparkContext.broadcast(fit(sample.filter("not curve")))
-    seen = compare_models(sample.filter("curve"), model, "text", ["toxic"]).toPandas()
+    model = spark.sparkContext.broadcast(fit(sample))
+    seen = compare_models(sample, model, "text", ["toxic"], "toxic").toPandas()
+    if seen["toxic"].nunique() < 2:
+        return df.withColumn("score", F.lit(0.0)).withColumn("predicted", F.lit(0))
     x = np.column_stack([seen["__mean"], seen["__top"], np.log(seen["__n"] + 1)])
-    beta = [float(b) for b in logistic(x, seen["toxic"].to_numpy(float))]
+    y = seen["toxic"].to_numpy(float)
+    beta = [float(b) for b in logistic(x, y, np.where(y == 1, 1 / share[1], 1 / share[0]))]
     z = beta[0] + beta[1] * F.col("__mean") + beta[2] * F.col("__top") + beta[3] * F.log(F.col("__n") + 1)
     score = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
     scored = compare_models(df, model, text, df.columns).withColumn("score", score)
