@@ -7,6 +7,7 @@ Two different words or windows share a hash with a chance of about 2**-60.
 
 from __future__ import annotations
 
+import contextlib
 import sys
 
 import numpy as np
@@ -15,6 +16,16 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors may lack this package
 
+def give_back() -> None:
+    """Return freed memory to the system, so that an idle Python worker leaves it to the next stage."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        import ctypes
+
+        with contextlib.suppress(OSError, AttributeError):  # only the usual C library has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 SLICE_BYTES = 1 << 20  # bytes hashed at once; bounds the scratch arrays unless one text is longer
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD6E8FEB86659FD93

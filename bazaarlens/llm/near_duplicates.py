@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlens.llm.components import components
-from bazaarlens.llm.hashing import WORD_BASE, mix, slices, spans_hash, utf8, windows, word_hashes
+from bazaarlens.llm.hashing import WORD_BASE, give_back, mix, slices, spans_hash, utf8, windows, word_hashes
 from bazaarlens.llm.registry import query, table
 from bazaarlens.session import scratch_path
 
@@ -127,6 +127,7 @@ def _describe(runs: int, similarity: float):
                 [batch["doc_id"], places, *_columns(sets), pa.array(sketches, pa.binary()), _nested(trees)],
                 ["doc_id", "place", "k1", "k2", "n", "sketch", "nodes"],
             )
+        give_back()
 
     return describe
 

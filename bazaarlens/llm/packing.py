@@ -25,7 +25,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.hashing import slices
+from bazaarlens.llm.hashing import give_back, slices, utf8
 from bazaarlens.llm.registry import query, table
 from bazaarlens.session import scratch_path
 
@@ -103,11 +103,7 @@ class WordIds:
             self.known[w] = self.known[stem] + self.known[rest]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text; a few texts at a time, so that only distinct words pile up."""
-        sizes = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
-        return [ids for a, b in slices(sizes, CHUNK) for ids in self._encode(texts[a:b])]
-
-    def _encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text."""
         # a lower-cased word must not turn into the string of a special token
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
         self.learn(set().union(*split))
@@ -121,17 +117,22 @@ def _pieces(path: str, key: str, text: str, length: int, end: int):
         place = TaskContext.get().partitionId() << 40
         for batch in batches:
             out = []
-            blobs = batch[text].cast(pa.large_binary()).to_pylist()
-            for doc, tokens in zip(batch[key].to_pylist(), ids.encode([b or b"" for b in blobs])):
-                tokens += tail
-                for n, at in enumerate(range(0, len(tokens), 4 * length)):
-                    body = tokens[at : at + 4 * length]
-                    out.append((doc, n, at // 4, len(body) // 4, zlib.crc32(body), place))
-                    place += 1
+            _, offsets = utf8(batch[text])
+            for a, b in slices(offsets, CHUNK):  # a few texts at a time, so that only rows pile up
+                docs, blobs = (batch[c].slice(a, b - a) for c in (key, text))
+                blobs = [t or b"" for t in blobs.cast(pa.large_binary()).to_pylist()]
+                for doc, tokens in zip(docs.to_pylist(), ids.encode(blobs)):
+                    tokens += tail
+                    for n, at in enumerate(range(0, len(tokens), 4 * length)):
+                        body = tokens[at : at + 4 * length]
+                        out.append((doc, n, at // 4, len(body) // 4, zlib.crc32(body), place))
+                        place += 1
             columns = list(zip(*out)) or [[]] * 6
             kinds = (batch.schema.field(key).type, pa.int32(), *[pa.int64()] * 4)
             names = ("doc_id", "piece", "start", "length", "ids_crc32", "place")
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+        ids.known.clear()
+        give_back()
 
     return pieces
 

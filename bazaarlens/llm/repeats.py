@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaarlens.llm.exchange import BATCH, BATCH_BYTES, bucket_bounds, pack_sorted, unpack_sorted, with_batches
-from bazaarlens.llm.hashing import utf8, windows, word_hashes, words
+from bazaarlens.llm.hashing import give_back, utf8, windows, word_hashes, words
 from bazaarlens.llm.registry import query, table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -42,6 +42,8 @@ def _ask(size: int, bits: int, text: str):
             for b in np.flatnonzero(np.diff(bounds)):
                 buckets.append(int(b))
                 blobs.append(pack_sorted(found[bounds[b] : bounds[b + 1]]))
+        found = None
+        give_back()
         return pa.table({"bucket": pa.array(buckets, pa.int64()), "batch": pa.array([batch] * len(blobs), pa.int64()), "blob": pa.array(blobs, pa.binary())})
 
     return ask
@@ -98,6 +100,8 @@ def _cut(size: int, bits: int, key: str, text: str, whole: bool, schema: pa.Sche
         covered = np.cumsum(steps[:-1]) > 0
         gone = np.concatenate(([0], np.cumsum(covered)))
         removed = gone[firsts[1:]] - gone[firsts[:-1]]
+        del found, at, row, repeated, steps, gone, hashes
+        give_back()
         shas, texts, intervals = [], [], []
         for i in range(len(rows)):
             body, kept = data[offsets[i] : offsets[i + 1]], ~covered[firsts[i] : firsts[i + 1]]
@@ -134,7 +138,7 @@ def _cut(size: int, bits: int, key: str, text: str, whole: bool, schema: pa.Sche
 
 
 def remove_repeats(
-    df: DataFrame, key: str = "doc_id", text: str = "text", size: int = WINDOW, whole: bool = True, batch_bytes: int = BATCH_BYTES
+    df: DataFrame, key: str = "doc_id", text: str = "text", size: int = WINDOW, whole: bool = True, batch_bytes: int = BATCH_BYTES // 2
 ) -> DataFrame:
     """Cut from ``text`` all words in a window of ``size`` words that also starts in a row with a smaller ``key``.
 
