@@ -30,6 +30,30 @@ def test_many_documents_in_a_file_come_back(spark, folder):
     assert sorted(r["a"] for r in rows(documents.read_documents(spark, f"{folder}/listed", "a int, b string"))) == [1, 2]
 
 
+LISTS = [
+    ('[\n{"a": 1},\n{"a": 2},\n{"a": 3}\n]', [1, 2, 3]),
+    ('[{"a": 1},\n{"a": 2}]', [1, 2]),
+    ('{"a": 1, "b":\n{"c": 2}}', [1]),
+    ('{"a": 1}\r\n[{"a": 2},\n{"a": 3}]\n\n{\n"a": 4\n}', [1, 2, 3, 4]),
+    ('{"a": 1, "b": "}"}\n[]\n[{"a": 2}, {"a": 3}]\n{"a": null}', [1, 2, 3, None]),
+]
+
+
+@pytest.mark.parametrize("text, ids", LISTS)
+def test_line_breaks_inside_documents_lose_no_rows(spark, folder, text, ids):
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{folder}/a b+c%20")
+    spark.createDataFrame([('\n{"a": 9}\n \n',)], "value string").coalesce(1).write.mode("append").text(f"{folder}/a b+c%20")
+    got = [r["a"] for r in rows(documents.read_documents(spark, f"{folder}/a b+c%20", "a int, b string"))]
+    assert sorted(got, key=repr) == sorted([*ids, 9], key=repr)
+
+
+@pytest.mark.parametrize("text", ['{"a": 1}\n{"a": 2', '[{"a": 1}, 5]', "null", '{"a": 1} {"a": 2}', '[{"a": 1}] [{"a": 2}]', "text"])
+def test_what_is_no_document_fails_the_read(spark, folder, text):
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{folder}/broken")
+    with pytest.raises(Exception, match="not a JSON document"):
+        documents.read_documents(spark, f"{folder}/broken", "a int, b string").collect()
+
+
 @pytest.mark.parametrize("descending", [True, False])
 def test_keyset_pages_reach_rows_with_null_keys(spark, descending):
     data = [(s, k) for s in (3, 2, None) for k in ("a", "b", None)]
