@@ -35,8 +35,35 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
-# Kinds that the method adds to the base ones.
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])"
+# Kinds that the method adds to the base ones. An account number has its country's length, in groups
+# of four; other codes take the longest run. The pattern consumes only the first four characters and
+# captures the number ahead, so that no candidate hides the next.
+IBAN_LENGTHS = {
+    15: "NO",
+    16: "BE",
+    18: "DK FK FO FI GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST",
+    26: "DZ IR IS TR",
+    27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+GROUPED = "|".join(
+    rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf"\x20?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    for n, codes in IBAN_LENGTHS.items()
+)
+OTHER = rf"(?!{'|'.join(IBAN_LENGTHS.values()).replace(' ', '|')})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?"
+IBAN = rf"(?<![A-Za-z0-9])(?=((?:{GROUPED}|{OTHER})(?![A-Za-z0-9])))[A-Z]{{2}}[0-9]{{2}}"
 LOCAL_PHONE = r"(?<![0-9A-Za-z().+-])(?<!\+[0-9]{1,3}[\x20.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z-])"
 
 # Words before a span that speak for its kind.
@@ -50,7 +77,10 @@ ACCEPTED = 0.5  # least score of an added span
 
 @dataclass(frozen=True)
 class Kind:
-    """A pattern, a literal that every match holds, a check of a match, and scores without and for context."""
+    """A pattern, a literal that every match holds, a check of a match, and scores without and for context.
+
+    With ``head``, the pattern consumes that many characters and its first group holds the match.
+    """
 
     name: str
     pattern: str
@@ -58,6 +88,10 @@ class Kind:
     valid: Callable[[Column], Column]
     score: float = 1.0
     context: float = 0.0
+    head: int = 0
+
+    def used(self, match: Column) -> Column:
+        return F.lit(self.head) if self.head else F.length(match)
 
 
 def digits(text: Column) -> Column:
@@ -100,7 +134,7 @@ KINDS = (
     Kind("ip", IP, ".", address_parts),
     Kind("card", CARD, "", lambda m: luhn(digits(m))),
     Kind("phone", PHONE, "+", lambda m: F.length(digits(m)).between(9, 15)),
-    Kind("iban", IBAN, "", mod97, 0.6, 0.4),
+    Kind("iban", IBAN, "", mod97, 0.6, 0.4, 4),
     Kind("local_phone", LOCAL_PHONE, "-", lambda m: F.lit(True), 0.3, 0.4),
 )
 BASE = tuple(BASE_PATTERNS)
@@ -126,7 +160,7 @@ def find_personal_data(df: DataFrame, text: str = "text", out: str = "spans") ->
     body, kept = "__text", [c for c in df.columns if c != out]
     df = df.withColumn(body, F.coalesce(F.col(f"`{text}`"), F.lit("")))
     for k in KINDS:
-        found = F.regexp_extract_all(F.col(body), F.lit(k.pattern), F.lit(0))
+        found = F.regexp_extract_all(F.col(body), F.lit(k.pattern), F.lit(1 if k.head else 0))
         if k.literal:
             found = F.when(F.contains(F.col(body), F.lit(k.literal)), found).otherwise(F.array().cast("array<string>"))
         df = df.withColumn(f"__m_{k.name}", found)
@@ -136,7 +170,7 @@ def find_personal_data(df: DataFrame, text: str = "text", out: str = "spans") ->
             F.zip_with(
                 f"__m_{k.name}",
                 F.slice(F.split(F.col(body), k.pattern, -1), F.lit(1), F.size(f"__m_{k.name}")),
-                lambda m, gap: F.length(m) + F.length(gap),
+                lambda m, gap: k.used(m) + F.length(gap),
             ),
         ).otherwise(F.array().cast("array<int>"))
         for k in KINDS
@@ -148,7 +182,7 @@ def find_personal_data(df: DataFrame, text: str = "text", out: str = "spans") ->
         placed = F.zip_with(
             f"__e_{k.name}",
             f"__m_{k.name}",
-            lambda e, m: F.struct(m.alias("match"), (e - F.length(m)).alias("start"), e.alias("end")),
+            lambda e, m: F.struct(m.alias("match"), (e - k.used(m)).alias("start"), (e - k.used(m) + F.length(m)).alias("end")),
         )
 
         def score(s: Column) -> Column:

@@ -151,6 +151,22 @@ def test_personal_data(spark, edges):
     assert out["text"] == "Mail <EMAIL>, <EMAIL><EMAIL>; IBAN <IBAN> or <CARD> é <IP> <PHONE>"
 
 
+def spans_of(spark, texts, kind):
+    found = find_personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return [[t[s["start"] : s["end"]] for s in r["spans"] if s["kind"] == kind] for r, t in zip(sorted(found, key=lambda r: r["doc_id"]), texts)]
+
+
+def test_an_account_number_ends_where_its_country_says(spark):
+    numbers = [
+        "ES91 2100 0418 4502 0005 1332", "AT611904300234573201", "BE68 5390 0754 7034", "GB82 WEST 1234 5698 7654 32", "NO9386011117947",
+        "DE89 3704 0044 0532 0130 00", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "FR14 2004 1010 0505 0001 3M02 606", "PL61109010140000071219812874",
+    ]
+    after = ["", " BIC CAIXESBB", " BIC BKAUATWW", " KBC bank", " Please pay", " ABCDEFGHIJKLMNOPQRSTUVWXYZ", " 12", ", and é"]
+    texts = [f"é IBAN {n}{a}" for n in numbers for a in after] + [" ".join(numbers), "DE12 3456 " + numbers[0], "IBAN ES91 2100 0418 4502 0005 1333 BIC", numbers[1] + "X"]
+    want = [[n] for n in numbers for _ in after] + [numbers, [numbers[0]], [], []]
+    assert spans_of(spark, texts, "iban") == want
+
+
 def test_pieces(edges):
     rows = decode_ids(encode_texts(edges.withColumn("id", F.monotonically_increasing_id())), out="again").collect()
     assert len(rows) == len(TEXTS)
