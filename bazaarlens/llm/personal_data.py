@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,14 +78,14 @@ ACCEPTED = 0.5  # least score of an added span
 
 @dataclass(frozen=True)
 class Kind:
-    """A pattern, a literal that every match holds, a check of a match, and scores without and for context.
+    """A pattern, characters of which every match holds one, a check of a match, and scores without and for context.
 
     With ``head``, the pattern consumes that many characters and its first group holds the match.
     """
 
     name: str
     pattern: str
-    literal: str
+    literals: str
     valid: Callable[[Column], Column]
     score: float = 1.0
     context: float = 0.0
@@ -135,7 +136,7 @@ KINDS = (
     Kind("card", CARD, "", lambda m: luhn(digits(m))),
     Kind("phone", PHONE, "+", lambda m: F.length(digits(m)).between(9, 15)),
     Kind("iban", IBAN, "", mod97, 0.6, 0.4, 4),
-    Kind("local_phone", LOCAL_PHONE, "-", lambda m: F.lit(True), 0.3, 0.4),
+    Kind("local_phone", LOCAL_PHONE, "-.", lambda m: F.lit(True), 0.3, 0.4),
 )
 BASE = tuple(BASE_PATTERNS)
 LIST = "array<struct<kind:string,start:int,end:int,score:double>>"
@@ -161,8 +162,9 @@ def find_personal_data(df: DataFrame, text: str = "text", out: str = "spans") ->
     df = df.withColumn(body, F.coalesce(F.col(f"`{text}`"), F.lit("")))
     for k in KINDS:
         found = F.regexp_extract_all(F.col(body), F.lit(k.pattern), F.lit(1 if k.head else 0))
-        if k.literal:
-            found = F.when(F.contains(F.col(body), F.lit(k.literal)), found).otherwise(F.array().cast("array<string>"))
+        if k.literals:
+            held = reduce(Column.__or__, [F.contains(F.col(body), F.lit(c)) for c in k.literals])
+            found = F.when(held, found).otherwise(F.array().cast("array<string>"))
         df = df.withColumn(f"__m_{k.name}", found)
     steps = {
         f"__l_{k.name}": F.when(

@@ -167,6 +167,11 @@ def test_an_account_number_ends_where_its_country_says(spark):
     assert spans_of(spark, texts, "iban") == want
 
 
+def test_a_local_phone_needs_no_hyphen(spark):
+    texts = ["call 555.123.4567", "call (555) 123.4567 now", "call 555-123-4567", "call 555 123 4567"]
+    assert spans_of(spark, texts, "local_phone") == [["555.123.4567"], ["(555) 123.4567"], ["555-123-4567"], []]
+
+
 def test_pieces(edges):
     rows = decode_ids(encode_texts(edges.withColumn("id", F.monotonically_increasing_id())), out="again").collect()
     assert len(rows) == len(TEXTS)
