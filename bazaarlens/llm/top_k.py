@@ -7,8 +7,9 @@ both lengths is a local cosine threshold: a high one prunes by coordinates (the
 bounds each coordinate of a unit vector), a low one by length alone. What is left is multiplied out,
 so results are exact.
 
-Edge cases: vectors that are null, empty, without id, hold a null or non-finite component, or one of
-2**27 or more after scaling, take no part; shorter vectors count as padded with zeros; rows with a
+Edge cases: vectors that are null, empty, without id, or hold a null or non-finite component take no
+part; of finite ones all do, as whole numbers held exactly by doubles. A result whose score a long does
+not hold raises an error, as does a component of 2**400 or more, which no float reaches; shorter vectors count as padded with zeros; rows with a
 query's own id are not its candidates; repeated rows are candidates each, but one query, that of the
 least vector; ties go to the smaller id; an empty table gives an empty result. Columns of the input beside id and vector are dropped.
 """
@@ -31,7 +32,8 @@ from bazaarlens.session import scratch_path
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SCALE = 64
-LARGEST = 1 << 27
+LARGEST = 2.0**400  # components stay below, so that squared lengths and their products stay finite
+LIMIT = (1 << 63) - 1  # stands for every score from here on, its negative for every one down from there
 GROUP = 8192  # vectors of one length group
 BLOCK = 1024  # queries of one block
 FOCUS = 3  # coordinates checked by coordinate pruning
@@ -40,12 +42,18 @@ FOUND = "query_id long, vec_id long, score long"
 
 
 def scaled(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """Valid vectors as whole numbers of one dimension, with their squared length."""
+    """Valid vectors as whole numbers in doubles, with their squared length, rounded."""
     v = F.col(f"`{vector}`")
-    fine = F.forall(v, lambda x: F.coalesce(F.abs(x.cast("double")) < LARGEST / SCALE, F.lit(False)) & ~F.isnan(x.cast("double")))
+    fine = F.forall(v, lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)) & ~F.isnan(x.cast("double")))
     df = df.select(F.col(f"`{key}`").alias("id"), v.alias("v")).filter(v.isNotNull() & (F.size(v) > 0) & F.col("id").isNotNull()).filter(fine)
-    return df.select("id", F.transform("v", lambda x: F.floor(x.cast("double") * SCALE).cast("long")).alias("v")).withColumn(
-        "norm2", F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)
+
+    def whole(x: Column) -> Column:
+        x = x.cast("double")
+        far = F.when(F.abs(x) < LARGEST, x * SCALE).otherwise(F.raise_error(F.lit("a component of 2**400 or more")).cast("double"))
+        return F.when(F.abs(x) < 2.0**46, F.floor(x * SCALE).cast("double")).otherwise(far)  # beyond, doubles are whole after scaling
+
+    return df.select("id", F.transform("v", whole).alias("v")).withColumn(
+        "norm2", F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     )
 
 
@@ -55,16 +63,31 @@ def _matrix(rows: pa.Table, width: int) -> np.ndarray:
     sizes = column.value_lengths().to_numpy(zero_copy_only=False)
     if (sizes == width).all():
         return flat.reshape(len(rows), width)
-    out = np.zeros((len(rows), width), np.int64)
+    out = np.zeros((len(rows), width))
     out[np.repeat(np.arange(len(rows)), sizes), np.concatenate([np.arange(n) for n in sizes])] = flat
     return out
 
 
-def _products(q: np.ndarray, x: np.ndarray, bound: float) -> np.ndarray:
-    """Exact inner products; in floating point while every sum stays a whole number there."""
-    if bound < 2.0**52:
-        return (q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64)
-    return q @ x.T
+def _products(q: np.ndarray, x: np.ndarray, q_lengths: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Exact inner products, cut to ``LIMIT`` and its negative.
+
+    In floating point while every sum stays a whole number there. Beyond, integers modulo 2**64 are
+    right where the rounded product says that a long holds it; the few it leaves open are Python's.
+    """
+    rounded = q @ x.T
+    if not rounded.size or q_lengths.max() * lengths.max() < 2.0**52:
+        return rounded.astype(np.int64)
+    error = np.outer(q_lengths, lengths) * (q.shape[1] + 2) * 2.0**-52
+    # a component beyond a long leaves its products to the rounded ones and to Python
+    q_fits, x_fits = (np.abs(m).max(axis=1) < 2.0**63 for m in (q, x))
+    sure = (np.abs(rounded) + error < 2.0**63) & q_fits[:, None] & x_fits
+    scores = np.where(q_fits[:, None], q, 0).astype(np.int64) @ np.where(x_fits[:, None], x, 0).astype(np.int64).T
+    scores = np.maximum(scores, -LIMIT)
+    high, low = rounded - error >= 2.0**63, rounded + error <= -(2.0**63)
+    scores[high], scores[low] = LIMIT, -LIMIT
+    for i, j in np.argwhere(~(sure | high | low)):
+        scores[i, j] = max(-LIMIT, min(LIMIT, sum(int(a) * int(b) for a, b in zip(q[i], x[j]))))
+    return scores
 
 
 def _by_coordinates(q: np.ndarray, x: np.ndarray, cosine: float) -> np.ndarray:
@@ -106,12 +129,12 @@ def _search(k: int, width: int):
             steep = (cosine > STEEP) & (cosine <= 1 + 1e-9)
             flat = cosine <= STEEP
             # a length that can reach the bound; vectors are in order of length
-            prefix = np.searchsorted(-lengths, -(bounds * (1 - 1e-12) - 1e-6) / np.maximum(q_lengths, 1e-300), "right")
+            prefix = np.searchsorted(-lengths, -(bounds * (1 - 1e-9) - 1e-6) / np.maximum(q_lengths, 1e-300), "right")
             prefix = np.where(bounds > 0, prefix, len(x))
-            limit = float(q_lengths.max() * lengths[0])
             if flat.any():
                 at = np.flatnonzero(flat)
-                scores = _products(q[at], x[: prefix[at].max()], limit)
+                top = prefix[at].max()
+                scores = _products(q[at], x[:top], q_lengths[at], lengths[:top])
                 for i, row in zip(at, scores):
                     own = np.flatnonzero(ids[: prefix[i]] != q_ids[i])
                     best = own[_best(row[own], ids[own], k)]
@@ -122,7 +145,7 @@ def _search(k: int, width: int):
                 for i in np.flatnonzero(steep):
                     alive = _by_coordinates(q[i] / max(q_lengths[i], 1e-300), unit[: prefix[i]], float(cosine[i]) - 1e-9)
                     alive = alive[ids[alive] != q_ids[i]]
-                    row = _products(q[i : i + 1], x[alive], limit)[0]
+                    row = _products(q[i : i + 1], x[alive], q_lengths[i : i + 1], lengths[alive])[0]
                     best = _best(row, ids[alive], k)
                     for out, part in zip(found, (np.full(len(best), q_ids[i]), ids[alive][best], row[best])):
                         out.append(part)
@@ -133,7 +156,9 @@ def _search(k: int, width: int):
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    beyond = F.raise_error(F.concat(F.lit("a score beyond a long for query "), F.col("query_id").cast("string"))).cast("long")
+    return ranked.withColumn("score", F.when(F.col("score").between(-LIMIT + 1, LIMIT - 1), F.col("score")).otherwise(beyond))
 
 
 def search_top_k(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vector: str = "embedding", group: int = GROUP, block: int = BLOCK) -> DataFrame:
@@ -145,7 +170,7 @@ def search_top_k(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_i
     spark = df.sparkSession
     folder = scratch_path(spark, "vectors")
     scaled(df, key, vector).write.parquet(folder + "/all")
-    schema = "id long, v array<bigint>, norm2 long"
+    schema = "id long, v array<double>, norm2 double"
     vectors = spark.read.schema(schema).parquet(folder + "/all")
     queries = vectors.withColumnRenamed("id", key).filter(is_query).withColumnRenamed(key, "id")
     queries = queries.groupBy("id").agg(F.min(F.struct("v", "norm2")).alias("q")).select("id", "q.*")

@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing column names, for every operator."""
 
+import fractions
+import math
 import random
 
 import pytest
@@ -196,3 +198,23 @@ def test_top_k(spark):
     first = [x for x in out if x[0] == 20]
     assert sorted({x[2:] for x in first}) == [(3, 8192), (4, 8192), (10, 4096)]
     assert sorted(x for x in out if x[0] == 40)[0][2:] == (3, -2048)
+
+
+def test_top_k_keeps_long_vectors(spark):
+    draw = random.Random(8)
+    sizes = [1.0, 2.0**21, 2.0**24, 2.0**26]
+    vectors = [[0.0, *(draw.uniform(-1, 1) * sizes[i % 4] for _ in range(5))] for i in range(200)]
+    vectors[0], vectors[20] = [2.0**70, 0.0, 0.0, 0.0, 0.0, 0.0], [0.0, 3e6, 1.0, 0.0, 0.0, 0.0]
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    whole = [[math.floor(fractions.Fraction(x) * 64) for x in v] for v in vectors]
+    got = {}
+    for r in search_top_k(df, F.col("vec_id") % 20 == 0, k=7, group=32, block=4).collect():
+        got.setdefault(r.query_id, []).append((-r.score, r.vec_id))
+    for q in range(0, 200, 20):
+        want = sorted((-sum(a * b for a, b in zip(whole[q], w)), i) for i, w in enumerate(whole) if i != q)[:7]
+        assert sorted(got[q]) == want
+    far = spark.createDataFrame([(20, [2.0**30]), (3, [2.0**30]), (4, [-(2.0**30)])], "vec_id long, embedding array<float>")
+    with pytest.raises(Exception, match="a score beyond a long"):
+        search_top_k(far, F.col("vec_id") == 20, k=1).collect()
+    least = spark.createDataFrame([(20, [2.0**30]), (3, [1.0]), (4, [-(2.0**30)])], "vec_id long, embedding array<float>")
+    assert [(r.vec_id, r.score) for r in search_top_k(least, F.col("vec_id") == 20, k=1).collect()] == [(3, 2**42)]
