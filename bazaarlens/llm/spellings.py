@@ -1,11 +1,13 @@
 """Spelling variants: words one insertion, deletion or replacement apart, grouped under the commoner form.
 
 Words are counted over all documents in Spark. Of two words whose longer one has ``M`` code points, one
-edit leaves a common prefix and suffix of together ``M - 1`` or more; so they agree in the first or the
-last ``M // 2`` code points. Each word goes to the tiles of both halves, for its own length and the next,
-and within a tile padded code-point matrices of two blocks of words are compared densely. A tile of more
-than ``BLOCK`` words is cut into blocks, every pair of blocks a cell of its own. A pair that agrees in
-both halves is counted in the tile of its prefix only, so each pair is settled once and none is listed.
+edit leaves a common prefix and suffix of together ``M - 1`` or more. ``M`` is cut into segments of two;
+the edit lies in one of them, and both words have the same code points before and after it. Each word goes
+to the tile of every segment, for its own length and the next. Within a tile padded code-point matrices of
+two blocks of words are compared densely: prefix plus suffix tell a near pair, and the segment that the
+common prefix ends in tells the one tile that counts it, so no pair is listed or counted twice. A tile
+holds no more words than two letters allow; where words of over 64 code points have longer segments, a
+tile of more than ``BLOCK`` words is cut into blocks, every pair of blocks a cell of its own.
 
 Edge cases: a null text has no words; a row without id is numbered by the empty text; words of two rows
 with one id are counted like any others; a word with two equally common near words takes the smaller; an
@@ -32,8 +34,13 @@ LEAST_LENGTH = 7
 LEAST_COUNT = 2
 DELETE_IN = 31  # one in so many runs loses a code point
 MARGIN = 10  # a form is at least so many times as common as its variant
+SEGMENT = 2  # code points among which the edit is sought; all others agree in a tile
+SEGMENTS = 32  # at most, so that very long words do not go to ever more tiles
 BLOCK = 2048  # words of a block
 TILE = 1 << 22  # code points compared at once
+SMALL = 64  # words of a tile compared together with other tiles
+CHUNK = 40_000  # rows held by a task
+CELL = ("longer", "tile", "i", "j")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -52,119 +59,146 @@ def count_words(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
 
 def _tiles(words: DataFrame) -> DataFrame:
-    """(word, n, longer, head, tile): four rows a word, for both halves and as the longer or shorter of a pair."""
-    length, ways = F.length("word"), []
-    for longer in (length, length + 1):
-        half = F.floor(longer / 2).cast("int")
-        for head, part in ((True, F.substr("word", F.lit(1), half)), (False, F.substr("word", length - half + 1))):
-            ways.append(F.struct(longer.alias("longer"), F.lit(head).alias("head"), F.xxhash64(longer, F.lit(head), part).alias("tile")))
-    return words.select("word", "n", F.explode(F.array(*ways)).alias("o")).select("word", "n", "o.*")
+    """(word, n, longer, first, last, tile): a row for each segment a word may be edited in, as the longer or shorter of a pair."""
+    longer = F.explode(F.array(F.length("word"), F.length("word") + 1)).alias("longer")
+    parts = F.least(F.ceil(F.col("longer") / SEGMENT), F.lit(SEGMENTS)).cast("int")
+    rows = words.select("word", "n", longer).select("*", parts.alias("parts"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("k"))
+    first, last = (F.floor(x * F.col("longer") / F.col("parts")).cast("int") for x in (F.col("k"), F.col("k") + 1))
+    rows = rows.select("word", "n", "longer", first.alias("first"), last.alias("last"))
+    before = F.substr("word", F.lit(1), F.col("first"))
+    after = F.substr("word", F.length("word") - F.col("longer") + F.col("last") + 1)
+    return rows.select("*", F.xxhash64("longer", "first", before, after).alias("tile"))
 
 
 def _cells(tiles: DataFrame, block: int) -> DataFrame:
-    """Deal the words of each tile of two or more to pairs of blocks."""
-    sizes = tiles.groupBy("tile").agg(F.count("*").alias("m")).filter("m > 1")
-    rows = tiles.join(sizes, "tile")
+    """Deal the words of each tile to pairs of blocks.
+
+    Segments of two code points bound a tile by the alphabet; only the longer segments of very long words
+    leave tiles whose size has to be looked up.
+    """
+    one, bounded = F.lit(0), F.col("longer") <= SEGMENT * SEGMENTS
+    short = tiles.filter(bounded).select("*", one.alias("block"), one.alias("i"), one.alias("j"))
+    long = tiles.filter(~bounded)
+    sizes = long.groupBy("tile").agg(F.count("*").alias("m")).filter("m > 1")
     blocks = F.ceil(F.col("m") / block).cast("int")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("word"), blocks).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    return rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "m")
+    long = long.join(sizes, "tile").withColumn("block", F.pmod(F.xxhash64("word"), blocks).cast("int"))
+    long = long.withColumn("other", F.explode(F.sequence(one, blocks - 1)))
+    long = long.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    return short.unionByName(long.select(short.columns))
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of one cell after another, from rows sorted by cell; cells of a single word are left out."""
-    rest = None
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Whole cells, some ten thousand rows at a time, from rows sorted by cell."""
+    held, n = [], 0
     for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        rows = rows if rest is None else pa.concat_tables([rest, rows]).combine_chunks()
-        key = np.column_stack([rows[c].to_numpy() for c in ("tile", "i", "j")])
-        begin = 0
-        for stop in (np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist():
-            if stop - begin > 1:
-                yield rows.slice(begin, stop - begin)
-            begin = stop
-        rest = rows.slice(begin)
-    if rest is not None and len(rest) > 1:
-        yield rest
-
-
-def code_points(words: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Words as rows of code points, padded at the end and padded at the start."""
-    left, right = np.zeros((len(words), width), np.uint32), np.zeros((len(words), width), np.uint32)
-    for row, word in enumerate(words):
-        points = np.frombuffer(word.encode("utf-32-le"), np.uint32)
-        left[row, : len(points)] = right[row, width - len(points) :] = points
-    return left, right
+        held.append(batch)
+        n += len(batch)
+        if n >= CHUNK:
+            rows = pa.Table.from_batches(held)
+            key = np.column_stack([rows[c].to_numpy() for c in CELL])
+            cuts = np.flatnonzero((key[1:] != key[:-1]).any(1))
+            if len(cuts):
+                stop = int(cuts[-1]) + 1
+                yield rows.slice(0, stop)
+                held = rows.slice(stop).to_batches()
+                n = len(rows) - stop
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def code_points(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words as rows of code points, padded at the end and padded at the start, and their lengths."""
+    lengths = np.array([len(w) for w in words], np.int64)
+    points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+    row = np.repeat(np.arange(len(words)), lengths)
+    column = np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    width = int(lengths.max(initial=0))
+    left, right = np.zeros((2, len(words), width), np.uint32)
+    left[row, column] = points
+    right[row, width - lengths[row] + column] = points
+    return left, right, lengths
 
 
 def _agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The number of leading columns in which each row of ``a`` agrees with each row of ``b``."""
-    apart = a[:, None, :] != b[None, :, :]
-    return np.where(apart.any(2), apart.argmax(2), a.shape[1])
-
-
-def near_pairs(words: list[str], longer: int, head: bool, block: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the pairs one edit apart whose longer word has ``longer`` code points and that this half settles.
-
-    With ``block``, only pairs of words of different blocks are compared.
-    """
-    lengths = np.array([len(w) for w in words])
-    left, right = code_points(words, longer)
-    if block is None:
-        rows = columns = np.arange(len(words))
-    else:
-        rows, columns = np.flatnonzero(block == block.min()), np.flatnonzero(block != block.min())
-    found: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-    side = max(1, int((TILE / longer) ** 0.5))
-    for lo in range(0, len(rows), side):
-        a = rows[lo : lo + side]
-        for first in range(0 if block is not None else lo, len(columns), side):
-            b = columns[first : first + side]
-            start = _agreeing(left[a], left[b])
-            end = _agreeing(right[a][:, ::-1], right[b][:, ::-1])
-            near = (start + end >= longer - 1) & (np.maximum(lengths[a][:, None], lengths[b][None, :]) == longer)
-            near &= (start >= longer // 2) == head
-            if block is None:
-                near &= a[:, None] < b[None, :]
-            x, y = np.nonzero(near)
-            found.append((a[x], b[y]))
-    return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
+    """In how many leading columns ``a`` and ``b`` agree."""
+    apart = a != b
+    return np.where(apart.any(-1), apart.argmax(-1), apart.shape[-1])
+
+
+class Rows:
+    """The rows of some cells, and the pairs among them that are one edit apart and settled here."""
+
+    def __init__(self, rows: pa.Table):
+        self.left, self.right, self.lengths = code_points(rows["word"].to_pylist())
+        self.longer, self.first, self.last, self.block = (rows[c].to_numpy() for c in ("longer", "first", "last", "block"))
+        self.across = rows["i"].to_numpy() != rows["j"].to_numpy()
+
+    def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which of the rows ``a`` are near the rows ``b``, arrays of one shape or shapes that broadcast."""
+        start = _agreeing(self.left[a], self.left[b])
+        end = _agreeing(self.right[a][..., ::-1], self.right[b][..., ::-1])
+        longer = np.maximum(self.lengths[a], self.lengths[b])
+        ok = (longer == self.longer[a]) & (longer == self.longer[b]) & (start + end >= longer - 1)
+        return ok & (self.first[a] <= start) & (start < self.last[a]) & (~self.across[a] | (self.block[a] != self.block[b]))
+
+    def small(self, begins: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs in many small cells at once: every row with the one so many places further, while the cell lasts."""
+        rows = np.repeat(begins, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        left = np.repeat(begins + sizes, sizes) - rows  # rows from here to the end of the cell
+        for step in range(1, int(sizes.max(initial=0))):
+            a = rows[left > step]
+            ok = self.near(a, a + step)
+            yield a[ok], a[ok] + step
+
+    def large(self, begin: int, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs in one large cell, block of rows against block of rows."""
+        rows, side = np.arange(begin, begin + size), max(1, int((TILE / max(1, self.left.shape[1])) ** 0.5))
+        for lo in range(0, size, side):
+            for at in range(lo, size, side):
+                a, b = rows[lo : lo + side, None], rows[None, at : at + side]
+                x, y = np.nonzero(self.near(a, b) & (a < b))
+                yield rows[lo + x], rows[at + y]
+
+    def pairs(self, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        cuts = np.cumsum(sizes) - sizes
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64)), *self.small(cuts[sizes <= SMALL], sizes[sizes <= SMALL])]
+        for begin, size in zip(cuts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist()):
+            found += self.large(begin, size)
+        return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each word with near words in a cell: how many, and the commonest, smallest first."""
-    for cell in _groups(batches):
-        n, words, block = cell["n"].to_numpy(), cell["word"].to_pylist(), cell["block"].to_numpy()
-        apart = block if cell["i"][0].as_py() != cell["j"][0].as_py() else None
-        if apart is not None and (block == block[0]).all():
+    for rows in _chunks(batches):
+        key = np.column_stack([rows[c].to_numpy() for c in CELL])
+        cuts = np.concatenate(([0], np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1))
+        sizes = np.diff(np.append(cuts, len(key)))
+        rows, sizes = rows.filter(pa.array(np.repeat(sizes > 1, sizes))).combine_chunks(), sizes[sizes > 1]
+        a, b = Rows(rows).pairs(sizes)
+        if not len(a):
             continue
-        for longer, head in set(zip(cell["longer"].to_pylist(), cell["head"].to_pylist())):  # one, but for a hash in common
-            here = np.flatnonzero((cell["longer"].to_numpy() == longer) & (cell["head"].to_numpy(zero_copy_only=False) == head))
-            if len(here) < 2 or (apart is not None and (apart[here] == apart[here[0]]).all()):
-                continue
-            a, b = near_pairs([words[x] for x in here], longer, head, apart[here] if apart is not None else None)
-            if not len(a):
-                continue
-            own, other = here[np.concatenate((a, b))], here[np.concatenate((b, a))]
-            rank = np.argsort(np.argsort(np.array(words, object)))  # Python compares by code point
-            order = np.lexsort((rank[other], -n[other], own))
-            own, other = own[order], other[order]
-            firsts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([words[x] for x in own[firsts]]),
-                    pa.array(np.diff(np.append(firsts, len(own))).astype(np.int64)),
-                    pa.array([words[x] for x in other[firsts]]),
-                    pa.array(n[other[firsts]]),
-                ],
-                ["word", "n_near", "best", "best_n"],
-            )
+        own, other = np.concatenate((a, b)), np.concatenate((b, a))
+        n, words = rows["n"].to_numpy()[other], rows["word"].take(pa.array(other)).to_pylist()
+        rank = np.empty(len(words), np.int64)
+        rank[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))  # Python compares by code point
+        order = np.lexsort((rank, -n, own))
+        begins = np.flatnonzero(np.diff(own[order], prepend=-1))
+        best = order[begins]
+        yield pa.RecordBatch.from_arrays(
+            [
+                rows["word"].take(pa.array(own[best])).combine_chunks(),
+                pa.array(np.diff(np.append(begins, len(order))).astype(np.int64)),
+                pa.array([words[x] for x in best.tolist()]),
+                pa.array(n[best]),
+            ],
+            ["word", "n_near", "best", "best_n"],
+        )
 
 
 def near_words(words: DataFrame, block: int = BLOCK) -> DataFrame:
     """(word, n_near, best, best_n) for every word with near ones among ``words`` (word, n)."""
-    cell = ["tile", "i", "j"]
-    cells = _cells(_tiles(words), block).repartition(*cell).sortWithinPartitions(*cell)
+    cells = _cells(_tiles(words), block).repartition(*CELL).sortWithinPartitions(*CELL)
     told = cells.mapInArrow(_compare, "word string, n_near long, best string, best_n long")
     best = F.min(F.struct((-F.col("best_n")).alias("less"), "best"))
     return told.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("b")).select(
