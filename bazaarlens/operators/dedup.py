@@ -18,6 +18,16 @@ def _first_of(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
     return df.withColumn("_row", F.row_number().over(w)).filter("_row = 1").drop("_row")
 
 
+def keep_last_sound(df: DataFrame, keys: Sequence[str], ts: str, ties: Sequence[str], unsound: str) -> DataFrame:
+    """Latest row per key of those without the flag ``unsound``; a key with flagged rows only has none.
+
+    Flagged rows lose the order of their key and are dropped above the window, where the filter is not
+    pushed down: what the flag is computed from is computed once.
+    """
+    order = [F.col(unsound).asc(), F.col(ts).desc_nulls_first(), *(F.col(t).desc_nulls_last() for t in ties)]
+    return _first_of(df, keys, order).filter(~F.col(unsound)).drop(unsound)
+
+
 def keep_last(
     df: DataFrame, keys: Sequence[str], ts: str, ties: Sequence[str] = ()
 ) -> DataFrame:

@@ -16,18 +16,20 @@ from bazaarlens.functions.dates import date_key, parse_utc
 from bazaarlens.functions.numbers import to_number, to_whole_number
 from bazaarlens.functions.payload import json_kind, parse_object
 from bazaarlens.functions.text import PATH_SEPARATOR, joined_key, url_query_param
-from bazaarlens.operators.dedup import keep_last
+from bazaarlens.operators.dedup import keep_last_sound
 from bazaarlens.operators.quality import TableRules, check_table
 from bazaarlens.operators.relational import union_by_name
 
 _TIE = "_tie"
+_BROKEN = "_broken"
 
 
 def parsed(bronze: DataFrame, payload_schema: str) -> DataFrame:
     """Envelope with the payload as struct ``p``; optional envelope columns absent here are null.
 
-    Records whose payload is not JSON are left to :func:`broken_payloads`, so that a broken one
-    never replaces an older valid one. Only payloads without a single field are looked at twice.
+    Records whose payload is not JSON carry the flag ``_broken``: keep-last puts them behind all valid
+    ones and then drops them, so that a broken one never replaces an older valid one. They go to
+    :func:`broken_payloads`. Only payloads without a single field are looked at twice.
     """
     have = set(bronze.columns)
     column = {c: F.col(c) if c in have else F.lit(None).cast("string") for c in schemas.ENVELOPE}
@@ -44,11 +46,15 @@ def parsed(bronze: DataFrame, payload_schema: str) -> DataFrame:
     for name in rows.schema["p"].dataType.names:
         blank = blank & F.col("p").getField(name).isNull()
     broken = F.when(blank, json_kind(F.col("_payload")) == "invalid").otherwise(False)
-    return rows.filter(~broken).drop("_payload")
+    return rows.withColumn(_BROKEN, broken).drop("_payload")
+
+
+def _latest(records: DataFrame, keys: list[str]) -> DataFrame:
+    return keep_last_sound(records, keys, "ingested_at", [_TIE], _BROKEN).drop(_TIE)
 
 
 def latest_by_record(records: DataFrame) -> DataFrame:
-    return keep_last(records, ["record_id"], "ingested_at", [_TIE])
+    return _latest(records, ["record_id"])
 
 
 def silver_domain_discovery(bronze: DataFrame) -> DataFrame:
@@ -60,9 +66,9 @@ def silver_domain_discovery(bronze: DataFrame) -> DataFrame:
         domain_category.alias("domain_category_id"),
         joined_key(query, domain_category).alias("query_domain_category_id"),
         "p.domain_id", "p.domain_name", "p.category_id", "p.category_name",
-        query.alias("search_query"), "ingested_at", "source", _TIE,
+        query.alias("search_query"), "ingested_at", "source", _TIE, _BROKEN,
     )
-    return keep_last(named, ["query_domain_category_id"], "ingested_at", [_TIE]).drop(_TIE)
+    return _latest(named, ["query_domain_category_id"])
 
 
 def silver_categories(bronze: DataFrame) -> DataFrame:
@@ -78,9 +84,9 @@ def silver_categories(bronze: DataFrame) -> DataFrame:
         F.coalesce(F.array_size("p.children_categories"), F.lit(0)).cast("bigint").alias("children_categories_count"),
         F.col("p.attribute_types").alias("attribute_types"),
         F.col("p.settings.adult_content").try_cast("boolean").alias("settings_adult_content"),
-        "ingested_at", "source", _TIE,
+        "ingested_at", "source", _TIE, _BROKEN,
     )
-    return latest_by_record(rows).drop("record_id", _TIE)
+    return latest_by_record(rows).drop("record_id")
 
 
 def silver_item_details(bronze: DataFrame) -> DataFrame:
@@ -97,9 +103,9 @@ def silver_item_details(bronze: DataFrame) -> DataFrame:
         "p.seller_id", "p.site_id",
         parse_utc(F.col("p.date_created")).alias("date_created"),
         parse_utc(F.col("p.last_updated")).alias("last_updated"),
-        "ingested_at", "source", _TIE,
+        "ingested_at", "source", _TIE, _BROKEN,
     )
-    return latest_by_record(rows).drop("record_id", _TIE)
+    return latest_by_record(rows).drop("record_id")
 
 
 def silver_item_price_snapshots(bronze: DataFrame) -> DataFrame:
@@ -117,9 +123,9 @@ def silver_item_price_snapshots(bronze: DataFrame) -> DataFrame:
         parse_utc(F.col("p.last_updated")).alias("last_updated"),
         F.col("ingested_at").alias("snapshot_date"),
         date_key(F.col("ingested_at")).alias("snapshot_date_key"),
-        "ingested_at", "source", _TIE,
+        "ingested_at", "source", _TIE, _BROKEN,
     )
-    return keep_last(rows, ["item_id", "snapshot_date"], "ingested_at", [_TIE]).drop(_TIE)
+    return _latest(rows, ["item_id", "snapshot_date"])
 
 
 def silver_item_descriptions(bronze: DataFrame) -> DataFrame:
@@ -130,9 +136,9 @@ def silver_item_descriptions(bronze: DataFrame) -> DataFrame:
         F.col("p.id").alias("item_id"),
         text.alias("plain_text"),
         F.char_length(text).cast("bigint").alias("text_length"),
-        "ingested_at", "source", _TIE,
+        "ingested_at", "source", _TIE, _BROKEN,
     )
-    return latest_by_record(rows).drop("record_id", _TIE)
+    return latest_by_record(rows).drop("record_id")
 
 
 TRANSFORMS: dict[str, Callable[[DataFrame], DataFrame]] = {

@@ -30,6 +30,15 @@ def view(name: str, text: str) -> None:
     VIEWS[name] = text
 
 
+STORED: set[str] = set()
+
+
+def stored_view(name: str, text: str) -> None:
+    """A named subquery that is computed once, however often others read it."""
+    VIEWS[name] = text
+    STORED.add(name)
+
+
 def with_views(text: str) -> str:
     """Prefix the named subqueries the text uses, inner ones first."""
     ordered: list[str] = []
@@ -46,7 +55,7 @@ def with_views(text: str) -> str:
             visit_view(name)
     if not ordered:
         return text
-    heads = ",\n".join(f"{n} as ({VIEWS[n]})" for n in ordered)
+    heads = ",\n".join(f"{n} as {'materialized ' if n in STORED else ''}({VIEWS[n]})" for n in ordered)
     if text.lstrip().lower().startswith("with "):
         return f"with {heads},\n{text.lstrip()[5:]}"
     return f"with {heads}\n{text}"
