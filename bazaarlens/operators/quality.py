@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from typing import Any
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -146,9 +148,10 @@ def check_range(
     return _count_check(name, df.agg(F.count_if(bad).alias("failures")))
 
 
-def gate(results: DataFrame) -> None:
-    """Raise one error that names every failed check. Check results are a handful of rows."""
-    failed = results.filter(~F.col("passed")).orderBy("name").collect()
-    if failed:
+def gate(results: DataFrame) -> list[dict[str, Any]]:
+    """The check results, a handful of rows, for the run's record; one error that names every failed check if any has."""
+    rows = [r.asDict() for r in results.select("name", "passed", "details").orderBy("name").collect()]
+    if failed := [r for r in rows if not r["passed"]]:
         text = "; ".join(f"{r['name']}: {r['details']}" for r in failed)
         raise ValueError(f"Data quality checks failed: {text}")
+    return rows

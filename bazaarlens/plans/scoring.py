@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,7 @@ from bazaarlens.functions.text import sentence
 from bazaarlens.operators.previous import with_previous
 from bazaarlens.operators.ranking import dense_rank_desc
 from bazaarlens.operators.stats import min_max_score, quartiles, share_of_total, z_score
+from bazaarlens.sources.history import last_before
 
 
 def build_category_features(metrics: DataFrame) -> DataFrame:
@@ -107,6 +109,17 @@ def build_naive_forecast(snapshots: DataFrame, target: str = "opportunity_score"
     return rows.dropna(subset=["forecast_value"]).withColumn("model_name", F.lit(fixed.FORECAST_MODEL))
 
 
+def forecast_from(history: DataFrame, since: int, target: str = "opportunity_score") -> DataFrame:
+    """The naive forecast of all snapshots from the date ``since`` on, from a dated history.
+
+    Read are the dates from ``since`` on and, for each category in them, its last one before. A date that
+    is loaded again changes the forecast of the next one too, so give the least date that has changed.
+    """
+    fresh = history.filter(F.col("snapshot_date_key") >= since)
+    rows = fresh.unionByName(last_before(history, "category_id", since))
+    return build_naive_forecast(rows, target).filter(F.col("snapshot_date_key") >= since)
+
+
 def readiness(snapshots: DataFrame) -> DataFrame:
     """Two rows ``(name, ready, reason)``: is there enough data to cluster and to forecast?"""
     dated = "snapshot_date_key" in snapshots.columns
@@ -159,6 +172,30 @@ def model_metadata(scores: DataFrame) -> DataFrame:
     )
 
 
+def advanced_metadata(state: DataFrame, candidates: DataFrame | None, outputs: Mapping[str, int]) -> DataFrame:
+    """One document row: readiness by name, rows of each output, and the clustering that was chosen.
+
+    ``clustering`` is null when no clusters were made: the chosen k, its silhouette, and all candidates.
+    """
+    spark = state.sparkSession
+    readiness_map = F.map_from_entries(F.collect_list(F.struct("name", F.struct("ready", "reason"))))
+    described = state.agg(readiness_map.alias("readiness")).select(
+        F.lit("advanced_models").alias("phase"), "readiness", F.from_json(F.lit(json.dumps(dict(outputs))), "map<string,bigint>").alias("outputs")
+    )
+    shape = "struct<chosen_k:int,silhouette_score:double,candidates:array<struct<k:int,silhouette_score:double>>>"
+    if candidates is None:
+        return described.withColumn("clustering", F.lit(None).cast(shape))
+    best = F.struct("silhouette_score", (-F.col("k")).alias("_less"))
+    found = candidates.agg(
+        F.max_by("k", best).alias("chosen_k"),
+        F.max("silhouette_score").alias("silhouette_score"),
+        F.sort_array(F.collect_list(F.struct("k", "silhouette_score"))).alias("candidates"),
+    )
+    row = found.first()
+    chosen = spark.createDataFrame([(row["chosen_k"], row["silhouette_score"], row["candidates"])], "chosen_k int, silhouette_score double, candidates array<struct<k:int,silhouette_score:double>>")
+    return described.withColumn("clustering", chosen.select(F.struct("chosen_k", "silhouette_score", "candidates")).scalar())
+
+
 def score_categories(metrics: DataFrame) -> DataFrame:
     """Mart metrics to ranked opportunity scores, without a forest."""
     return calculate_opportunity_score(detect_anomalies(build_category_features(metrics)))

@@ -33,6 +33,18 @@ def partitioned(records: DataFrame) -> DataFrame:
     return records.select(*ENVELOPE, *day_parts(ts))
 
 
+def json_lines(dated: DataFrame) -> DataFrame:
+    """One JSON text per record, with its date parts."""
+    # in valid JSON, line feeds only stand between tokens; a broken payload stays as a JSON string
+    quoted = F.to_json(F.array("payload"))
+    value = F.when(F.try_parse_json("payload").isNotNull(), F.translate("payload", "\r\n", "  ")).otherwise(
+        F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+    )
+    head = F.to_json(F.struct(*ENVELOPE[:-1]), {"ignoreNullFields": "false"})
+    line = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(', "payload": '), F.coalesce(value, F.lit("null")), F.lit("}"))
+    return dated.select(line.alias("value"), *PARTITIONS)
+
+
 def write_bronze(records: DataFrame, root: str, entity: str, many_days: bool = False) -> int:
     """Append both twins under ``root``; returns the row count.
 
@@ -49,14 +61,7 @@ def write_bronze(records: DataFrame, root: str, entity: str, many_days: bool = F
         dated = by_date(dated, PARTITIONS, F.xxhash64("payload"))
     counted = dated.observe(seen, F.count(F.lit(1)).alias("rows"))
     counted.write.mode("append").partitionBy(*PARTITIONS).parquet(f"{root}/parquet/{entity}")
-    # in valid JSON, line feeds only stand between tokens; a broken payload stays as a JSON string
-    quoted = F.to_json(F.array("payload"))
-    value = F.when(F.try_parse_json("payload").isNotNull(), F.translate("payload", "\r\n", "  ")).otherwise(
-        F.substring(quoted, F.lit(2), F.length(quoted) - 2)
-    )
-    head = F.to_json(F.struct(*ENVELOPE[:-1]), {"ignoreNullFields": "false"})
-    line = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(', "payload": '), F.coalesce(value, F.lit("null")), F.lit("}"))
-    lines = dated.select(line.alias("value"), *PARTITIONS)
+    lines = json_lines(dated)
     lines.write.mode("append").partitionBy(*PARTITIONS).text(f"{root}/jsonl/{entity}")
     return int(seen.get["rows"])
 
@@ -67,7 +72,7 @@ def scan_bronze(spark: SparkSession, root: str, entity: str) -> DataFrame:
     The schema is given: columns absent in older files read as null, and ``month`` stays ``"09"``.
     """
     try:
-        return spark.read.schema(BRONZE).parquet(f"{root}/parquet/{entity}")
+        return spark.read.schema(BRONZE).parquet(f"{root}/parquet/{entity}").drop("batch")
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise

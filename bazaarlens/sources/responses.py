@@ -6,6 +6,8 @@ unpacked where it was read.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,12 +34,12 @@ def unwrap_multiget(df: DataFrame, body: str) -> DataFrame:
     return rows.withColumn("payload", F.to_json(F.try_variant_get("_e", "$.body", "variant"))).drop("_e")
 
 
-def explode_listing_ids(df: DataFrame, body: str, seller: str) -> DataFrame:
-    """Text ids of ``results`` as ``id`` with the requested ``seller_id``."""
+def explode_listing_ids(df: DataFrame, body: str, seller: str, kept: Sequence[str] = ()) -> DataFrame:
+    """Text ids of ``results`` as ``id`` with the requested ``seller_id``, after the columns ``kept``."""
     results = json_elements(F.get_json_object(F.col(body), "$.results"))
     rows = _explode_where(df, results, is_text)
     return rows.select(
-        F.variant_get("_e", "$", "string").alias("id"), F.col(seller).cast("string").alias("seller_id")
+        *kept, F.variant_get("_e", "$", "string").alias("id"), F.col(seller).cast("string").alias("seller_id")
     )
 
 
@@ -60,14 +62,14 @@ def explode_categories(df: DataFrame, body: str) -> DataFrame:
     return _explode_where(df, listed, is_object).withColumn("payload", F.to_json("_e")).drop("_e")
 
 
-def price_snapshot_payloads(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """The 13 price and stock fields of each item payload; items without an id are dropped."""
-    fields = [f.split()[0] for f in PRICE_PAYLOAD.split(", ")]
+PRICE_FIELDS = [f.split()[0] for f in PRICE_PAYLOAD.split(", ")]
+
+
+def price_snapshot_payloads(df: DataFrame, payload: str = "payload", kept: Sequence[str] = ()) -> DataFrame:
+    """The 13 price and stock fields of each item payload, after the columns ``kept``; items without an id are dropped."""
     p = F.from_json(F.col(payload), PRICE_PAYLOAD)
     rows = df.withColumn("_p", p).filter("_p.id is not null and _p.id <> ''")
-    return rows.select(
-        *(F.col("_p.id" if f == "item_id" else f"_p.{f}").alias(f) for f in fields)
-    )
+    return rows.select(*kept, *(F.col("_p.id" if f == "item_id" else f"_p.{f}").alias(f) for f in PRICE_FIELDS))
 
 
 def merge_id(df: DataFrame, payload: str, requested_id: str) -> DataFrame:

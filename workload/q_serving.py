@@ -13,7 +13,8 @@ from bazaarlens.plans.clusters import fit_clusters, standardised
 from bazaarlens.plans.pipeline import PUBLIC_ENTITIES, SELLER_ENTITIES, run_pipeline
 from bazaarlens.session import scratch_path
 from bazaarlens.sources.documents import read_documents, write_document
-from bazaarlens.sources.tables import read_table, write_table
+from bazaarlens.sources.history import read_history
+from bazaarlens.sources.tables import append_snapshots, read_table, write_table
 from workload.check_views import rnd
 from workload.inputs import QUESTIONS, Lake
 from workload import cluster_views, forest_views  # noqa: F401
@@ -146,6 +147,58 @@ def ml_readiness(lake: Lake) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+# two dated runs: the later one lands the last dates again, with other scores, and a category that paused
+view(
+    "dated_snapshots",
+    """
+select category_id, snapshot_date_key, case when snapshot_date_key >= since then opportunity_score + 1 else opportunity_score end as opportunity_score
+from category_snapshots, (select min(d) as since from (select distinct snapshot_date_key as d from category_snapshots order by d desc limit 5) l) s
+where not (category_id = 'click' and snapshot_date_key < since and snapshot_date_key >= (
+    select min(d) from (select distinct snapshot_date_key as d from category_snapshots order by d desc limit 12) m))
+""",
+)
+SNAPSHOT_SCHEMA = "category_id string, opportunity_score double, snapshot_date_key bigint"
+
+
+def _two_runs(lake: Lake) -> tuple[DataFrame, int]:
+    path = scratch_path(lake.spark, "snapshots")
+    dates = [r[0] for r in lake.category_snapshots.select("snapshot_date_key").distinct().orderBy(F.desc("snapshot_date_key")).head(12)]
+    since, pause = dates[4], dates[-1]
+    day = F.col("snapshot_date_key")
+    away = (F.col("category_id") == "click") & (day >= pause) & (day < since)
+    append_snapshots(lake.category_snapshots.filter(~away), path, "category_id")
+    again = lake.category_snapshots.filter(day >= since).withColumn("opportunity_score", F.col("opportunity_score") + 1)
+    append_snapshots(again, path, "category_id")
+    return read_history(lake.spark, path, SNAPSHOT_SCHEMA), since
+
+
+@query(
+    "ml_history_forecast",
+    """
+select * from (
+    select category_id, snapshot_date_key, opportunity_score, lag(opportunity_score) over (partition by category_id order by snapshot_date_key) as forecast_value,
+        'naive_previous_snapshot' as model_name from dated_snapshots) x
+where forecast_value is not null and snapshot_date_key >= (
+    select min(d) from (select distinct snapshot_date_key as d from category_snapshots order by d desc limit 5) l)
+""",
+)
+def ml_history_forecast(lake: Lake) -> DataFrame:
+    """Forecasts of the dates that the second run changed, read from the history."""
+    return scoring.forecast_from(*_two_runs(lake))
+
+
+@query(
+    "ml_history_readiness",
+    """
+select 'clustering' as name, count(*) >= 5 as ready, 'Dataset has enough rows for baseline clustering.' as reason from dated_snapshots
+union all select 'forecasting', count(distinct snapshot_date_key) >= 14, 'Dataset has enough temporal snapshots.' from dated_snapshots
+""",
+)
+def ml_history_readiness(lake: Lake) -> DataFrame:
+    """Are there dates enough, counted over all runs?"""
+    return scoring.readiness(_two_runs(lake)[0])
+
+
 METADATA_SQL = """
 select 'category_ml_baseline_v1' as model_version,
     'total_items_log,domain_count,category_depth,catalog_coverage_score,items_share,competition_density' as features,

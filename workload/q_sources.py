@@ -12,10 +12,11 @@ from bazaarlens.functions.text import url_query_param
 from bazaarlens.plans import gold, marts, scoring, silver
 from bazaarlens.session import scratch_path
 from bazaarlens.sources import bronze, documents, responses, tables
+from bazaarlens.streaming import landing
 from workload import check_views  # noqa: F401
 from workload.check_views import date_key
 from workload.inputs import Lake
-from workload.registry import query, view
+from workload.registry import ORACLES, query, view
 
 # --- sources and sinks -----------------------------------------------------------------------
 
@@ -521,6 +522,22 @@ def silver_item_descriptions(lake: Lake) -> DataFrame:
     return silver.silver_item_descriptions(lake.bronze("item_descriptions"))
 
 
+@query("landing_to_silver", ORACLES["silver_item_descriptions"])
+def landing_to_silver(lake: Lake) -> DataFrame:
+    """Raw response bodies that arrive in two drops, landed after each and once more, up to Silver values."""
+    inbox, root = scratch_path(lake.spark, "inbox"), scratch_path(lake.spark, "landed")
+    bodies = lake.bronze("item_descriptions").select(
+        "endpoint", F.col("record_id").alias("requested"), F.col("ingested_at").alias("received_at"), F.col("payload").alias("body")
+    )
+    for drop in (0, 1):
+        bodies.filter(F.pmod(F.hash("body"), F.lit(2)) == drop).write.json(f"{inbox}/descriptions/{drop}")
+        landing.land_responses(lake.spark, inbox, root, f"{root}/progress", ["descriptions"])
+    again = landing.land_responses(lake.spark, inbox, root, f"{root}/progress", ["descriptions"])
+    if any(again.values()):
+        raise AssertionError(f"a replay has added rows: {again}")
+    return silver.silver_item_descriptions(bronze.scan_bronze(lake.spark, root, "item_descriptions"))
+
+
 @query(
     "build_silver",
     """
