@@ -117,7 +117,18 @@ def test_a_large_group_of_near_copies(spark):
     # leaves of 40 split the group again and again; a pair may be lost with the chance the recall leaves
     assert all(r.n_links <= w for r, w in zip(got, want))
     assert sum(r.n_links for r in got) >= 0.998 * sum(want)
-    assert {r.class_id for r in got} == {0}
+    # documents with three changed words reach no other: the classes follow from the sets
+    root = list(range(300))
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= 0.8 * len(a | sets[j]):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    assert [r.class_id for r in got] == [find(i) for i in range(300)]
 
 
 def test_packing(spark, texts):
