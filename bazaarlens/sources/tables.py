@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import math
+import uuid
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -57,6 +59,32 @@ def publish(tables: Mapping[str, DataFrame], root: str) -> dict[str, int]:
     return {name: write_table(df, f"{root}/{name}") for name, df in tables.items()}
 
 
+POINTER = "version string, published_at timestamp, tables map<string,bigint>"
+
+
+def publish_together(tables: Mapping[str, DataFrame], root: str) -> dict[str, int]:
+    """Publish all tables at once: each is written below a new version, and a pointer to it is appended last.
+
+    Readers follow the latest pointer, so until then, and after a failure on the way, they see the tables
+    of the version before, all of one run. Row counts by name.
+    """
+    spark, version = next(iter(tables.values())).sparkSession, uuid.uuid4().hex
+    counts = publish(tables, f"{root}/versions/{version}")
+    pointer = spark.range(1).select(
+        F.lit(version).alias("version"), F.current_timestamp().alias("published_at"), F.from_json(F.lit(json.dumps(counts)), "map<string,bigint>").alias("tables")
+    )
+    pointer.coalesce(1).write.mode("append").parquet(f"{root}/published")
+    return counts
+
+
+def published_root(spark: SparkSession, root: str) -> str:
+    """The folder of the version published last."""
+    latest = read_optional(spark, f"{root}/published", POINTER).orderBy(F.desc("published_at"), "version").head(1)
+    if not latest:
+        raise ValueError(f"nothing has been published under {root}")
+    return f"{root}/versions/{latest[0]['version']}"
+
+
 def by_date(df: DataFrame, dates: Sequence[str], spread: Column) -> DataFrame:
     """Range-shuffle rows by date and ``spread`` for a write partitioned by date.
 

@@ -4,12 +4,13 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from bazaarlens.plans import scoring
 from bazaarlens.plans.pipeline import run_pipeline
 from bazaarlens.sources.bronze import scan_bronze, scan_jsonl
 from bazaarlens.sources.history import last_before, read_history
-from bazaarlens.sources.tables import append_snapshots
+from bazaarlens.sources.tables import append_snapshots, publish_together, published_root
 from bazaarlens.streaming.landing import RESPONSE, land_batch, land_responses, still_to_fetch
 from tests.conftest import rows
 
@@ -100,3 +101,19 @@ def test_forecast_reads_only_the_dates_it_needs(spark, folder):
     with pytest.raises(Exception):
         history.agg({"opportunity_score": "sum"}).collect()
     assert {r["name"]: r["ready"] for r in rows(scoring.readiness(read_history(spark, f"{folder}/none", SNAPSHOTS)))} == {"clustering": False, "forecasting": False}
+
+
+def test_a_failed_publish_leaves_the_version_before(spark, folder):
+    root = f"{folder}/star"
+    with pytest.raises(ValueError, match="nothing has been published"):
+        published_root(spark, root)
+    one, more = spark.range(3), spark.range(5)
+    assert publish_together({"dim": one, "fact": one}, root) == {"dim": 3, "fact": 3}
+    before = published_root(spark, root)
+    broken = spark.range(1).select(F.raise_error(F.lit("lost")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        publish_together({"dim": more, "fact": broken}, root)
+    assert published_root(spark, root) == before
+    assert [spark.read.parquet(f"{before}/{t}").count() for t in ("dim", "fact")] == [3, 3]
+    publish_together({"dim": more, "fact": more}, root)
+    assert published_root(spark, root) != before and spark.read.parquet(f"{published_root(spark, root)}/fact").count() == 5

@@ -171,8 +171,12 @@ def sink_json_doc(lake: Lake) -> DataFrame:
     ),
 )
 def sink_warehouse(lake: Lake) -> DataFrame:
-    counts = tables.publish(lake.star_plan(), scratch_path(lake.spark, "warehouse"))
-    return lake.spark.createDataFrame(list(counts.items()), "table_name string, rows bigint")
+    """All eight tables published at once; rows of the version that readers now follow."""
+    root = scratch_path(lake.spark, "warehouse")
+    written = tables.publish_together(lake.star_plan(), root)
+    current = tables.published_root(lake.spark, root)
+    counts = [tables.read_table(lake.spark, f"{current}/{name}").select(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows")) for name in written]
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query(
