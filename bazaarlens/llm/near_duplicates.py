@@ -85,19 +85,23 @@ def tree(shingles: np.ndarray, seeds: np.ndarray, similarity: float) -> list[tup
     return levels
 
 
-def _nested(trees: list[list[tuple[np.ndarray, np.ndarray]]]) -> pa.Array:
-    """Trees as lists of (node, below) structs; the nodes of the last level are bare."""
-    column = pa.array(np.concatenate([np.zeros(0, np.uint64), *(t[-1][1] for t in trees)]).view(np.int64))
-    for level in range(LEVELS - 1, 0, -1):
-        counts = [np.bincount(t[level][0], minlength=len(t[level - 1][1])) for t in trees]
-        offsets = np.concatenate(([0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *counts])))).astype(np.int32)
-        nodes = np.concatenate([np.zeros(0, np.uint64), *(t[level - 1][1] for t in trees)]).view(np.int64)
-        column = pa.StructArray.from_arrays([pa.array(nodes), pa.ListArray.from_arrays(pa.array(offsets), column)], ["node", "below"])
-    offsets = np.concatenate(([0], np.cumsum([len(t[0][1]) for t in trees]))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), column)
-
-
-NODES = "array<struct<node:long,below:array<struct<node:long,below:array<long>>>>>"
+def _flat(trees: list[list[tuple[np.ndarray, np.ndarray]]]) -> pa.Array:
+    """Each tree as one list of (node, above, level); ``above`` is the place of the parent in the list, -1 at the first level."""
+    nodes, above, levels, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], []
+    for t in trees:
+        start = 0  # of the level before
+        for level, (parent, own) in enumerate(t, 1):
+            nodes.append(own)
+            above.append((parent + start).astype(np.int32) if level > 1 else np.full(len(own), -1, np.int32))
+            levels.append(np.full(len(own), level, np.int32))
+            start += len(t[level - 2][1]) if level > 1 else 0
+        sizes.append(sum(len(own) for _, own in t))
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    fields = [pa.array(np.concatenate(nodes).view(np.int64)), pa.array(np.concatenate(above)), pa.array(np.concatenate(levels))]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(fields, ["node", "above", "level"]))
+
+
+NODES = "array<struct<node:long,above:int,level:int>>"
 DESCRIBED = f"doc_id long, place long, k1 long, k2 long, n long, sketch binary, nodes {NODES}"
 
 
@@ -124,7 +128,7 @@ def _describe(runs: int, similarity: float):
             places = pa.array(np.arange(place, place + len(sets)))
             place += len(sets)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], places, *_columns(sets), pa.array(sketches, pa.binary()), _nested(trees)],
+                [batch["doc_id"], places, *_columns(sets), pa.array(sketches, pa.binary()), _flat(trees)],
                 ["doc_id", "place", "k1", "k2", "n", "sketch", "nodes"],
             )
         give_back()
@@ -140,22 +144,22 @@ def _beside(df: DataFrame) -> DataFrame:
 def _leaves(classes: DataFrame, leaf: int, folder: str) -> DataFrame:
     """(rep, leaf, m): the leaves of all paths that hold two sets or more, and how many they hold.
 
-    Nodes too large for a leaf are few; only sets in them look at their next level.
+    Every set lists its nodes of all levels, so the rows do not depend on how sets cluster. A node counts
+    if its parent was too large for a leaf, and is a leaf if it is small enough or of the last level.
     """
-    spark, found = classes.sparkSession, []
-    members = classes.select("rep", F.explode("nodes").alias("o")).select("rep", "o.*")
-    for level in range(1, LEVELS + 1):
-        path = f"{folder}/sizes{level}"
-        members.groupBy("node").agg(F.count("*").alias("m")).filter("m > 1").write.parquet(path)
-        sizes = spark.read.schema("node long, m long").parquet(path)
-        last = level == LEVELS
-        small = sizes if last else sizes.filter(F.col("m") <= leaf)
-        found.append(members.select("rep", "node").join(small, "node").select("rep", F.col("node").alias("leaf"), "m"))
-        if not last:
-            large = _beside(sizes.filter(F.col("m") > leaf).select("node"))
-            below = members.join(large, "node", "left_semi").select("rep", F.explode("below").alias("o"))
-            members = below.select("rep", "o.*") if level < LEVELS - 1 else below.select("rep", F.col("o").alias("node"))
-    return found[0].unionByName(found[1]).unionByName(found[2])
+    spark = classes.sparkSession
+    # no parent at the first level: a value that is no node, and not the same for all
+    parent = lambda o: F.when(o.above >= 0, F.get("nodes", o.above).node).otherwise(F.bitwise_not(o.node))
+    listed = F.transform("nodes", lambda o: F.struct(o.node.alias("node"), parent(o).alias("parent"), o.level.alias("level")))
+    members = classes.select("rep", F.explode(listed).alias("o")).select("rep", "o.*")
+    classes.select(F.explode("nodes.node").alias("node")).groupBy("node").agg(F.count("*").alias("m")).filter("m > 1").write.parquet(
+        folder + "/sizes"
+    )
+    sizes = spark.read.schema("node long, m long").parquet(folder + "/sizes")
+    large = sizes.filter(F.col("m") > leaf).select(F.col("node").alias("parent"), F.lit(True).alias("split"))
+    paths = members.join(_beside(large), "parent", "left").filter("level = 1 or split").select("rep", "node", "level")
+    ends = (F.col("m") <= leaf) | (F.col("level") == LEVELS)
+    return paths.join(sizes, "node").filter(ends).select("rep", F.col("node").alias("leaf"), "m")
 
 
 def _cells(rows: DataFrame, leaf: int) -> DataFrame:
@@ -293,17 +297,12 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["doc_id"], *_columns(sets), shingles], ["doc_id", "k1", "k2", "n", "shingles"])
 
 
-def near_duplicates(
-    df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, recall: float = RECALL, leaf: int = LEAF
-) -> DataFrame:
-    """One row for each row: ``doc_id``, ``class_id``, ``copy_of`` and ``n_links``.
+def _classified(rows: DataFrame, similarity: float, recall: float, leaf: int) -> DataFrame:
+    """Rows (doc_id, text) that have an id, as (doc_id, k1, k2, n, class_id, copy_of, n_links, leads).
 
-    ``class_id`` is the least id connected by links, ``copy_of`` the least id with the same shingles,
-    ``n_links`` the number of other rows of the least similarity or more. Descriptions of all rows,
-    classes, links and component rounds are tables in the shared folder.
+    ``leads`` tells the set that stands for its class: of the sets with the least id the one read first.
     """
-    spark = df.sparkSession
-    rows = df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    spark = rows.sparkSession
     folder = scratch_path(spark, "near")
     described = rows.filter("doc_id is not null").mapInArrow(_describe(runs_for(recall), similarity), DESCRIBED)
     described.write.parquet(folder + "/described")
@@ -339,31 +338,77 @@ def near_duplicates(
 
     named = components(links.select(F.col("rep").alias("u"), F.col("root").alias("v"))).withColumnRenamed("node", "rep")
     grouped = classes.join(named, "rep")
-    grouped = grouped.groupBy("component").agg(F.min("doc_id").alias("class_id")).join(named, "component").select("rep", "class_id")
+    grouped = grouped.groupBy("component").agg(F.min(F.struct("doc_id", "rep")).alias("lead")).join(named, "component").select("rep", "lead")
     counted = links.groupBy("rep").agg(F.sum("links").alias("links"))
     told = classes.join(counted, "rep", "left").join(grouped, "rep", "left").select(
         *keys,
         F.col("doc_id").alias("copy_of"),
-        F.coalesce("class_id", "doc_id").alias("class_id"),
+        F.coalesce("lead.doc_id", "doc_id").alias("class_id"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+        F.coalesce(F.col("lead.rep") == F.col("rep"), F.lit(True)).alias("leads"),
     )
-    out = described.select("doc_id", *keys).join(told, keys, "left").select(
+    return described.select("doc_id", *keys).join(told, keys, "left").select(
         "doc_id",
+        *keys,
         F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("copy_of", "doc_id").alias("copy_of"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        F.coalesce("leads", F.lit(True)).alias("leads"),
     )
+
+
+def _named(df: DataFrame, key: str, text: str) -> DataFrame:
+    return df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+
+
+def near_duplicates(
+    df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, recall: float = RECALL, leaf: int = LEAF
+) -> DataFrame:
+    """One row for each row: ``doc_id``, ``class_id``, ``copy_of`` and ``n_links``.
+
+    ``class_id`` is the least id connected by links, ``copy_of`` the least id with the same shingles,
+    ``n_links`` the number of other rows of the least similarity or more. Descriptions of all rows,
+    classes, links and component rounds are tables in the shared folder.
+    """
+    rows = _named(df, key, text)
+    out = _classified(rows, similarity, recall, leaf).select("doc_id", "class_id", "copy_of", "n_links")
     none = F.lit(None).cast("long")
     lost = rows.filter("doc_id is null").select("doc_id", none.alias("class_id"), none.alias("copy_of"), F.lit(0).cast("long").alias("n_links"))
     return out.unionByName(lost)
 
 
-def drop_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The row of least id of each class, with all its columns; of rows that share this id, each stays. Rows without id stay."""
+def _text_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = list(shingle_sets(*utf8(batch["text"])))
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text"], *_columns(sets)], ["doc_id", "text", "k1", "k2", "n"])
+
+
+def drop_near_duplicates(
+    df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, recall: float = RECALL, leaf: int = LEAF
+) -> DataFrame:
+    """One row of each class, the one of least id, with all its columns. Rows without id or without words stay.
+
+    An id that only one row has is decided by a join on the id. Rows that share an id are decided one by
+    one, by their shingles; of rows that share id and shingles one stays.
+    """
     folder = scratch_path(df.sparkSession, "later")
-    found = near_duplicates(df, key, text, **options)
-    found.filter("doc_id <> class_id").select(F.col("doc_id").alias(key)).distinct().write.parquet(folder)
-    return df.join(_beside(df.sparkSession.read.parquet(folder)), key, "left_anti")
+    rows, keys = _named(df, key, text), ["k1", "k2", "n"]
+    found = _classified(rows, similarity, recall, leaf).select("doc_id", *keys, (F.col("leads") & (F.col("doc_id") == F.col("class_id"))).alias("stays"))
+    found.write.parquet(folder + "/found")
+    found = df.sparkSession.read.parquet(folder + "/found")
+    found.groupBy("doc_id").agg(F.count("*").alias("held"), F.bool_or("stays").alias("any")).filter("held > 1 or not any").write.parquet(
+        folder + "/ids"
+    )
+    ids = df.sparkSession.read.parquet(folder + "/ids")
+    plain = df.join(_beside(ids.select(F.col("doc_id").alias(key))), key, "left_anti").select(*(f"`{c}`" for c in df.columns))
+
+    shared = _beside(ids.filter("held > 1").select("doc_id"))
+    texts = rows.join(shared, "doc_id", "left_semi").distinct().mapInArrow(_text_keys, "doc_id long, text string, k1 long, k2 long, n long")
+    good = texts.filter("n > 0").join(found.filter("stays"), ["doc_id", *keys], "left_semi").groupBy("doc_id", *keys).agg(F.min("text").alias("text"))
+    again = df.join(shared.withColumnRenamed("doc_id", key), key, "left_semi").select(*(f"`{c}`" for c in df.columns))
+    words = F.coalesce(F.col(f"`{text}`").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    one = again.filter(words).dropDuplicates([key, text]).join(good.select(F.col("doc_id").alias(key), F.col("text").alias(text)), [key, text], "left_semi")
+    return plain.unionByName(again.filter(~words)).unionByName(one.select(*(f"`{c}`" for c in df.columns)))
 
 
 @query("op2_ngram_jaccard_join")

@@ -93,7 +93,7 @@ def test_near_duplicates(spark, texts):
                 links[b] += 1
                 low, high = sorted((find(a), find(b)))
                 parent[high] = low
-    for leaf in (500, 3):  # whole leaves, and leaves that split and fall into blocks
+    for leaf in (500, 40, 3):  # whole leaves, and leaves that split and fall into blocks
         rows = near_duplicates(spark.read.parquet(f"{DATA}/documents.parquet"), leaf=leaf).collect()
         assert {r.doc_id: (r.class_id, r.n_links) for r in rows} == {i: (find(i), links[i]) for i in ids}
 

@@ -218,3 +218,23 @@ def test_top_k_keeps_long_vectors(spark):
         search_top_k(far, F.col("vec_id") == 20, k=1).collect()
     least = spark.createDataFrame([(20, [2.0**30]), (3, [1.0]), (4, [-(2.0**30)])], "vec_id long, embedding array<float>")
     assert [(r.vec_id, r.score) for r in search_top_k(least, F.col("vec_id") == 20, k=1).collect()] == [(3, 2**42)]
+
+
+def test_near_duplicates_go_by_row(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    near = long.replace("w59", "x")
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [
+        (1, long, "kept"), (1, long, "repeat"), (1, other, "clean, by the same id"),
+        (2, near, "near copy"), (2, "five words that stay here", "clean"), (2, None, "null"), (2, "", "empty"), (2, "", "empty"),
+        (3, near + " y", "near copy"), (None, long, "no id"), (4, other, "copy of the clean one"), (5, "alone", "clean"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held string").withColumnRenamed("held", "n")
+    for leaf in (500, 2):
+        kept = drop_near_duplicates(docs, leaf=leaf)
+        assert kept.columns == ["doc_id", "text", "n"]
+        got = sorted((r.doc_id or 0, r.text or "", r.n if r.doc_id != 1 else "") for r in kept.collect())
+        assert got == sorted(
+            [(1, long, ""), (1, other, ""), (2, "five words that stay here", "clean"), (2, "", "null"), (2, "", "empty"), (2, "", "empty"),
+             (0, long, "no id"), (5, "alone", "clean")]
+        )
