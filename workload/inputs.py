@@ -1,8 +1,8 @@
 """The given tables reshaped into the engine's Silver and Bronze inputs.
 
-``INPUT_SQL`` is portable: Spark and the checking database read the same text. Nulls, orphans and
-outliers are planted by expressions, never by dropping rows, so every query still covers the whole
-tables. Silver, star and mart tables are written once per session to the shared folder, as the
+``INPUT_SQL`` is portable: Spark and the checking database read the same text. Every given row
+keeps its values; nulls and zeros are planted in added rows under ids of their own (J items, Q
+snapshots, categories that end in -VOID). Silver, star and mart tables are written once per session to the shared folder, as the
 batch pipeline does, and read from there.
 """
 
@@ -29,7 +29,7 @@ select
     category_id,
     category_name,
     'https://img.example.com/' || category_id as picture_url,
-    case when p_brand = 'Brand#7' then null else cast(lines * boost as bigint) end as total_items_in_this_category,
+    case when kind = '' then cast(lines * boost as bigint) end as total_items_in_this_category,
     'Catalog > ' || p_type || case when p_brand like '%1%' then ' > ' || p_brand else '' end as path_from_root,
     children as children_categories_count,
     case when p_brand like '%2%' then 'variations' else null end as attribute_types,
@@ -38,15 +38,17 @@ select
     'public_api' as source
 from (
     select
-        p_brand, p_type,
-        p_brand || '-' || p_type as category_id,
-        p_type || ' ' || p_brand as category_name,
+        p_brand, p_type, kind,
+        p_brand || '-' || p_type || kind as category_id,
+        p_type || ' ' || p_brand || kind as category_name,
         sum(cast(l_quantity as bigint)) as lines,
         case when p_brand = 'Brand#13' and p_type = 'ECONOMY' then 20 when p_brand = 'Brand#13' then 12 else 1 end as boost,
         count(distinct p_size) as children,
         max(cast(l_shipdate as timestamp)) as ingested_at
-    from {lineitem} join {part} on l_partkey = p_partkey
-    group by p_brand, p_type
+    from {lineitem}
+    join (select p.*, '' as kind from {part} p union all select p.*, '-VOID' from {part} p where p_brand = 'Brand#7') parts
+        on l_partkey = p_partkey
+    group by p_brand, p_type, kind
 ) grouped
 """,
     "domains": """
@@ -79,27 +81,29 @@ select
     category_id, listing_type_id, permalink, seller_id, site_id, date_created, last_updated, ingested_at, source
 from (
     select
-        'I' || l_partkey || '-' || l_suppkey as item_id,
+        kind || l_partkey || '-' || l_suppkey as item_id,
         p_name as title,
-        case when l_discount > 0.095 then null else l_extendedprice end as price,
+        case when kind = 'J' and l_discount > 0.095 then null else l_extendedprice end as price,
         'BRL' as currency_id,
-        case when l_tax > 0.075 then null when l_linestatus = 'O' then cast(p_size as bigint) else 0 end as available_quantity,
+        case when kind = 'J' and l_tax > 0.075 then null when l_linestatus = 'O' then cast(p_size as bigint) else 0 end as available_quantity,
         case when l_returnflag = 'R' then 0 else cast(l_quantity as bigint) end as sold_quantity,
         case l_returnflag when 'A' then 'active' when 'N' then 'paused' end as status,
         case when p_size > 25 then 'new' else 'used' end as item_condition,
-        nullif(p_brand, 'Brand#25') || '-' || p_type as category_id,
+        case when kind = 'I' or p_brand <> 'Brand#25' then p_brand || '-' || p_type end as category_id,
         case when l_linestatus = 'O' then 'gold' else 'free' end as listing_type_id,
         'https://shop.example.com/' || l_partkey || '/' || l_suppkey as permalink,
-        cast(nullif(l_suppkey, 13) as string) as seller_id,
+        case when kind = 'I' or l_suppkey <> 13 then cast(l_suppkey as string) end as seller_id,
         'S1' as site_id,
         cast(l_shipdate as timestamp) as date_created,
         cast(l_shipdate as timestamp) as last_updated,
         cast(l_shipdate as timestamp) as ingested_at,
         'seller_api' as source,
         row_number() over (
-            partition by l_partkey, l_suppkey order by l_shipdate desc, l_orderkey desc, l_linenumber desc
+            partition by kind, l_partkey, l_suppkey order by l_shipdate desc, l_orderkey desc, l_linenumber desc
         ) as nth
-    from {lineitem} join {part} on l_partkey = p_partkey
+    from (
+        select l.*, 'I' as kind from {lineitem} l union all select l.*, 'J' from {lineitem} l where l_linenumber = 1
+    ) lines join {part} on l_partkey = p_partkey
 ) ranked
 where nth = 1
 """,
@@ -111,10 +115,10 @@ select
     snapshot_date as ingested_at, 'seller_api' as source
 from (
     select
-        'P' || l_partkey as item_id,
+        kind || l_partkey as item_id,
         cast(l_suppkey as string) as seller_id,
         p_brand || '-' || p_type as category_id,
-        case when l_discount > 0.095 then null when l_discount < 0.005 then 0.0 else l_extendedprice end as price,
+        case when kind = 'P' then l_extendedprice when l_discount < 0.005 then 0.0 when l_discount <= 0.095 then l_extendedprice end as price,
         l_extendedprice as base_price,
         case when l_returnflag = 'N' then null else p_retailprice end as original_price,
         'BRL' as currency_id,
@@ -124,9 +128,11 @@ from (
         case when p_size > 25 then 'new' else 'used' end as item_condition,
         cast(l_shipdate as timestamp) as snapshot_date,
         row_number() over (
-            partition by l_partkey, l_shipdate order by l_orderkey desc, l_linenumber desc
+            partition by kind, l_partkey, l_shipdate order by l_orderkey desc, l_linenumber desc
         ) as nth
-    from {lineitem} join {part} on l_partkey = p_partkey
+    from (
+        select l.*, 'P' as kind from {lineitem} l union all select l.*, 'Q' from {lineitem} l where l_linenumber = 1
+    ) lines join {part} on l_partkey = p_partkey
 ) ranked
 where nth = 1
 """,
