@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens.functions.dates import day_parts, parse_utc
 from bazaarlens.schemas import BRONZE, ENVELOPE
-from bazaarlens.sources.tables import by_date
+from bazaarlens.sources.tables import PAYLOAD_GROUP, by_date
 
 PARTITIONS = ["year", "month", "day"]
 
@@ -60,7 +60,7 @@ def write_bronze(records: DataFrame, root: str, entity: str, many_days: bool = F
     if many_days:
         dated = by_date(dated, PARTITIONS, F.xxhash64("payload"))
     counted = dated.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("append").partitionBy(*PARTITIONS).parquet(f"{root}/parquet/{entity}")
+    counted.write.mode("append").options(**PAYLOAD_GROUP).partitionBy(*PARTITIONS).parquet(f"{root}/parquet/{entity}")
     lines = json_lines(dated)
     lines.write.mode("append").partitionBy(*PARTITIONS).text(f"{root}/jsonl/{entity}")
     return int(seen.get["rows"])

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from bazaarlens.plans import gold, marts, scoring, star
 from bazaarlens.session import scratch_path
 from bazaarlens.sources.bronze import envelope
-from bazaarlens.sources.tables import read_table, write_table
+from bazaarlens.sources.tables import PAYLOAD_GROUP, read_table, write_table
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -188,7 +188,7 @@ class Lake:
         key = (self.spark.sparkContext.applicationId, self.dir, name)
         if key not in _STORED:
             path = scratch_path(self.spark, name)
-            write_table(build(), path)
+            write_table(build(), path, options=PAYLOAD_GROUP if name.startswith("bronze_") else None)
             _STORED[key] = path
         return read_table(self.spark, _STORED[key])
 
