@@ -51,8 +51,22 @@ def count_distinct_or_zero(
     return left.join(counts, key, "left").withColumn(name, F.coalesce(name, F.lit(0)).cast("bigint"))
 
 
-def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child keys that are absent in the parent, each once with its row count; nulls pass."""
+BROADCAST_KEYS = 1_000_000
+
+
+def orphans(
+    child: DataFrame, column: str, parent: DataFrame, parent_column: str, broadcast_keys: int = BROADCAST_KEYS
+) -> DataFrame:
+    """Child keys that are absent in the parent, each once with its row count; nulls pass.
+
+    With at most ``broadcast_keys`` rows in the parent, its keys go to every task and the child is not
+    shuffled but for its orphans. Beyond that, the child is counted by key first, so that each task
+    sends a key once and a hot key is one row of the join.
+    """
+    known = parent.select(F.col(parent_column).alias("_parent")).filter("_parent is not null")
+    absent = F.col(column) == F.col("_parent")
+    if known.limit(broadcast_keys + 1).count() <= broadcast_keys:
+        missing = child.filter(F.col(column).isNotNull()).join(F.broadcast(known), absent, "left_anti")
+        return missing.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
     keys = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
-    known = parent.select(F.col(parent_column).alias("_parent"))
-    return keys.join(known, F.col(column) == F.col("_parent"), "left_anti")
+    return keys.join(known, absent, "left_anti")

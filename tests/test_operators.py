@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -132,3 +133,54 @@ def test_filters_skip_empty_values(spark):
     df = spark.createDataFrame([("1", "A"), ("2", "A")], "seller_id string, status string")
     assert relational.equal_filters(df, seller_id=None, status="").count() == 2
     assert relational.equal_filters(df, seller_id="2", status="A").count() == 1
+
+
+def test_dense_rank_by_ranges(spark):
+    """Many distinct scores, ties, and cuts that fall anywhere give the ranks of plain sorting."""
+    draw = random.Random(4)
+    scores = [draw.choice([None, -0.0, 0.0, draw.random() ** 9, draw.randrange(50) / 7, 1e300, float("inf")]) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(scores)), "k long, s double")
+    order = {s: i + 1 for i, s in enumerate(sorted({s for s in scores if s is not None}, reverse=True))}
+    for ranges in (1, 7, 256):
+        got = {r["k"]: r["r"] for r in rows(ranking.dense_rank_desc(df, "s", "r", ranges))}
+        assert got == {k: order.get(s) for k, s in enumerate(scores)}
+    assert rows(ranking.dense_rank_desc(df.limit(0), "s", "r")) == []
+    nan = spark.createDataFrame([(1, float("nan")), (2, 1.0), (3, None), (4, float("nan"))], "k long, s double")
+    assert {r["k"]: r["r"] for r in rows(ranking.dense_rank_desc(nan, "s", "r", 3))} == {1: 1, 2: 2, 3: None, 4: 1}
+
+
+def test_exact_quantiles_by_refinement(spark):
+    """Distinct doubles, heavy ties, tails and small tables against interpolation over the sorted values."""
+    draw = random.Random(5)
+    tables = {
+        "distinct": [draw.gauss(0, 1) ** 3 for _ in range(20000)],
+        "ties": [draw.choice([1.5, 1.5, 1.5, draw.random() * 3]) for _ in range(5000)],
+        "tail": [2.0 ** draw.randrange(-900, 900) for _ in range(4000)],
+        "two": [3.0, 8.0],
+        "one": [7.0],
+        "same": [2.5] * 300,
+    }
+    at = (0.0, 0.25, 0.75, 0.999)
+    for name, values in tables.items():
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(5)
+        ordered = sorted(values)
+        for counted, grid in ((10, 40), (10_000, 200)):
+            got = stats.exact_quantiles(df, F.col("v"), at, counted, grid)
+            for q, g in zip(at, got):
+                place = q * (len(ordered) - 1)
+                low, high = math.floor(place), math.ceil(place)
+                want = ordered[low] if low == high else (high - place) * ordered[low] + (place - low) * ordered[high]
+                assert g == pytest.approx(want, rel=1e-12), (name, q)
+    empty = spark.createDataFrame([], "v double")
+    assert rows(spark.range(1).select(stats.quartiles(empty, F.col("v")).alias("q")))[0]["q"] is None
+
+
+def test_orphans_with_few_and_with_many_parents(spark):
+    child = spark.createDataFrame([("a",), ("b",), ("b",), ("c",), (None,), ("c",), ("c",)], "k string")
+    parent = spark.createDataFrame([("a",), ("a",), (None,), ("z",)], "p string")
+    for bound in (10, 1):
+        got = {r["k"]: r["rows"] for r in rows(relational.orphans(child, "k", parent, "p", bound))}
+        assert got == {"b": 2, "c": 3}
+        assert rows(relational.orphans(child, "k", parent.limit(0), "p", bound)) != []
+    plan = relational.orphans(child, "k", parent, "p")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
