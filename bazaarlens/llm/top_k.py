@@ -7,9 +7,9 @@ both lengths is a local cosine threshold: a high one prunes by coordinates (the
 bounds each coordinate of a unit vector), a low one by length alone. What is left is multiplied out,
 so results are exact.
 
-Edge cases: vectors that are null, empty, without id, or hold a null or non-finite component take no
+Edge cases: vectors that are null, without id, or hold a null or non-finite component take no
 part; of finite ones all do, as whole numbers held exactly by doubles. A result whose score a long does
-not hold raises an error, as does a component of 2**400 or more, which no float reaches; shorter vectors count as padded with zeros; rows with a
+not hold raises an error, as does a component of 2**400 or more, which no float reaches; shorter vectors count as padded with zeros, an empty one as all zeros; rows with a
 query's own id are not its candidates; repeated rows are candidates each, but one query, that of the
 least vector; ties go to the smaller id; an empty table gives an empty result. Columns of the input beside id and vector are dropped.
 """
@@ -45,7 +45,7 @@ def scaled(df: DataFrame, key: str, vector: str) -> DataFrame:
     """Valid vectors as whole numbers in doubles, with their squared length, rounded."""
     v = F.col(f"`{vector}`")
     fine = F.forall(v, lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)) & ~F.isnan(x.cast("double")))
-    df = df.select(F.col(f"`{key}`").alias("id"), v.alias("v")).filter(v.isNotNull() & (F.size(v) > 0) & F.col("id").isNotNull()).filter(fine)
+    df = df.select(F.col(f"`{key}`").alias("id"), v.alias("v")).filter(v.isNotNull() & F.col("id").isNotNull()).filter(fine)
 
     def whole(x: Column) -> Column:
         x = x.cast("double")
@@ -196,10 +196,11 @@ def search_top_k(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_i
     search = _search(k, size["width"])
 
     def meet(asked: DataFrame, groups: range, wanted: Column) -> DataFrame:
-        """Each query block meets each group; ``wanted`` filters (query, group) pairs before they travel."""
-        left = vectors.filter(F.col("group").between(groups.start, groups.stop - 1)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        """Each query block meets the groups that one of its queries wants; ``wanted`` filters (query, group) pairs before they travel."""
         right = asked.withColumn("group", F.explode(F.sequence(F.lit(groups.start), F.lit(groups.stop - 1)))).filter(wanted)
         right = right.select(*[F.col(c).alias(c) for c in right.columns])  # names of its own: both sides come from one table
+        pairs = right.select(F.col("group").alias("group"), F.col("block").alias("block")).distinct()
+        left = vectors.filter(F.col("group").between(groups.start, groups.stop - 1)).join(pairs, "group")
         return left.groupBy("group", "block").cogroup(right.groupBy("group", "block")).applyInArrow(search, FOUND)
 
     first = meet(queries.withColumn("bound", F.lit(None).cast("long")), range(0, 1), F.lit(True))
@@ -217,8 +218,9 @@ def search_top_k(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_i
 
 CHECK_SQL = f"""with v as (select vec_id, list_transform(embedding, lambda x: cast(floor({SCALE} * cast(x as double)) as bigint)) v from embeddings
     where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+padded as (select vec_id, list_resize(v, (select max(len(v)) from v), 0) v from v),
 s as (select q.vec_id query_id, c.vec_id, cast(list_dot_product(cast(q.v as double[]), cast(c.v as double[])) as bigint) score
-    from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
+    from padded q join padded c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
 r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) "rank" from s)
 select query_id, "rank", vec_id, score from r where "rank" <= 20"""
 
