@@ -4,9 +4,11 @@ import glob
 
 from pyspark.sql import functions as F
 
+from bazaarlens.plans import marts, star
 from bazaarlens.sources import bronze, tables
 from bazaarlens.streaming import landing
 from tests.conftest import rows
+from workload.inputs import INPUT_SQL, WIDE_INPUTS, Lake
 
 
 def _landed(spark, n, width=2000):
@@ -40,3 +42,46 @@ def test_json_lines_are_compressed_and_read_back(spark, folder):
     key = ["record_id", "payload"]
     back = bronze.scan_jsonl(spark, folder, "items").select(*key)
     assert back.exceptAll(bronze.scan_bronze(spark, folder, "items").select(*key)).count() == 0 and back.count() == 50
+
+
+def _given(spark, folder):
+    """Lines and parts with ties, nulls, repeated rows and repeated part keys."""
+    day = "timestamp '2024-01-0{} 00:00:00'"
+    spark.sql(
+        "select * from values "
+        + ", ".join(
+            f"({o}, {p}, {s}, {n}, {q}, {o * 10.5 + n}, {d}, {t}, '{'ANR'[o % 3]}', '{'OF'[o % 2]}', {day.format(1 + o % 4)})"
+            for o in range(12) for n in (1, 2) for p, s, q, d, t in [(o % 3, o % 2, o, 0.097 if o == 4 else 0.05, 0.01), (7, "null", 1, "null", 0.08)]
+        )
+        + ", (99, null, 1, 1, 1, 1.0, 0.0, 0.0, null, null, null), (98, 1, 1, 1, 1, 1.0, 0.0, 0.0, 'A', 'O', null), (98, 1, 1, 1, 1, 1.0, 0.0, 0.0, 'A', 'O', null)"
+        + " as t(l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)"
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    spark.sql(
+        "select * from values (0, 'red widget', 'Brand#1', 'PROMO', 3, 9.5), (1, 'blue widget', 'Brand#25', 'SMALL', 30, 8.5), (7, null, null, 'SMALL', null, null),"
+        " (1, 'blue widget', 'Brand#25', 'SMALL', 30, 8.5) as t(p_partkey, p_name, p_brand, p_type, p_size, p_retailprice)"
+    ).write.parquet(f"{folder}/part.parquet")
+    return Lake(spark, folder)
+
+
+def test_lines_ranked_before_their_part_is_joined_give_the_rows_of_the_sql(spark, folder):
+    lake = _given(spark, folder)
+    for name in ("item_details", "item_price_snapshots"):
+        want = lake.sql(INPUT_SQL[name])
+        got = lake.silver(name).select(*want.columns)
+        assert got.dtypes == want.dtypes and want.count() > 5
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_lines_are_ranked_without_the_columns_of_their_part(spark, folder):
+    plan = WIDE_INPUTS["item_details"](_given(spark, folder))._jdf.queryExecution().optimizedPlan().toString()
+    ranked = plan[plan.index("Window [row_number()") :].split("+- Filter isnotnull(p_partkey")[0]
+    assert "permalink" not in ranked and "p_name" not in ranked.split("p_partkey")[0]
+
+
+def test_a_staging_table_builds_only_the_star_tables_it_reads(spark, folder, monkeypatch):
+    lake, built = _given(spark, folder), []
+    stored = Lake.stored
+    monkeypatch.setattr(Lake, "stored", lambda self, name, build: built.append(name) or stored(self, name, build))
+    assert marts.staging(lake.star, "stg_categories").count() == 3  # one without a name
+    assert set(built) == {"categories", "dim_category"}
+    assert list(lake.star) == list(star.STAR)
