@@ -4,6 +4,7 @@ import glob
 
 from pyspark.sql import functions as F
 
+from bazaarlens.operators import dedup
 from bazaarlens.plans import marts, star
 from bazaarlens.sources import bronze, tables
 from bazaarlens.streaming import landing
@@ -85,3 +86,17 @@ def test_a_staging_table_builds_only_the_star_tables_it_reads(spark, folder, mon
     assert marts.staging(lake.star, "stg_categories").count() == 3  # one without a name
     assert set(built) == {"categories", "dim_category"}
     assert list(lake.star) == list(star.STAR)
+
+
+def test_rows_of_a_key_that_comes_once_are_not_sent(spark, folder, monkeypatch):
+    once = spark.range(500).selectExpr("cast(id as string) as k", "1 as ts", "id as v")
+    twice = once.unionAll(spark.sql("select '7' as k, 0 as ts, 9L as v union all select '7', null, 1L union all select null, 1, 2L union all select null, 0, 3L"))
+    for n, df in enumerate((once, twice)):
+        df.write.parquet(f"{folder}/{n}")
+    once, twice = (spark.read.parquet(f"{folder}/{n}") for n in (0, 1))
+    assert "Window" not in dedup.keep_first_of_rare(once, ["k"], "ts", ["v"])._jdf.queryExecution().optimizedPlan().toString()
+    for limit in (dedup.RARE, 1):
+        monkeypatch.setattr(dedup, "RARE", limit)
+        got = {r["k"]: r["v"] for r in rows(dedup.keep_first_of_rare(twice, ["k"], "ts", ["v"]))}
+        assert got["7"] == 9 and got[None] == 3 and got["8"] == 8 and len(got) == 501
+        assert dedup.keep_first_of_rare(twice, ["k"], "ts", ["v"]).count() == 501
