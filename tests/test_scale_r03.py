@@ -2,13 +2,18 @@
 
 import glob
 
+import numpy as np
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from bazaarlens.operators import dedup
-from bazaarlens.plans import marts, star
+from bazaarlens.functions import payload
+from bazaarlens.llm import pieces
+from bazaarlens.operators import dedup, previous
+from bazaarlens.plans import gold, marts, star
 from bazaarlens.sources import bronze, tables
 from bazaarlens.streaming import landing
 from tests.conftest import rows
+from workload import inputs
 from workload.inputs import INPUT_SQL, WIDE_INPUTS, Lake
 
 
@@ -100,3 +105,21 @@ def test_rows_of_a_key_that_comes_once_are_not_sent(spark, folder, monkeypatch):
         got = {r["k"]: r["v"] for r in rows(dedup.keep_first_of_rare(twice, ["k"], "ts", ["v"]))}
         assert got["7"] == 9 and got[None] == 3 and got["8"] == 8 and len(got) == 501
         assert dedup.keep_first_of_rare(twice, ["k"], "ts", ["v"]).count() == 501
+
+
+def _exchanged(df):
+    """The plan as run: lines of exchanges that deal rows by hash."""
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return [line for line in final.splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_lines_are_dealt_by_part_before_they_are_ranked(spark, folder, monkeypatch):
+    lake = _given(spark, folder)
+    plan = WIDE_INPUTS["item_details"](lake)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression [l_partkey") == 1
+    monkeypatch.setattr(inputs, "HOT_PART", 3)  # each part has more
+    for name in ("item_details", "item_price_snapshots"):
+        got, want = WIDE_INPUTS[name](lake), lake.sql(INPUT_SQL[name])
+        assert "RepartitionByExpression" not in got._jdf.queryExecution().optimizedPlan().toString()
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
