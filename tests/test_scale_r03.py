@@ -123,3 +123,26 @@ def test_lines_are_dealt_by_part_before_they_are_ranked(spark, folder, monkeypat
         got, want = WIDE_INPUTS[name](lake), lake.sql(INPUT_SQL[name])
         assert "RepartitionByExpression" not in got._jdf.queryExecution().optimizedPlan().toString()
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_groups_of_a_seller_are_counted_after_one_shuffle(spark, folder, monkeypatch):
+    items = spark.sql(
+        "select * from values ('a', 's', 'c', 'active', 1.5D, 1L, 2L), ('a', 's', 'c', 'active', 2.5D, 0L, 1L), ('b', 's', 'c', null, null, null, 0L),"
+        " ('b', null, 'c', 'paused', 3.0D, 4L, 0L), (null, null, null, null, 1.0D, 1L, 1L)"
+        " as t(item_id, seller_id, category_id, status, price, available_quantity, sold_quantity)"
+    ).withColumn("ingested_at", F.lit("2024-01-01").cast("timestamp"))
+    items.write.parquet(f"{folder}/items")
+    items = spark.read.parquet(f"{folder}/items")
+    one = gold.gold_seller_item_metrics(items)
+    got = sorted(map(str, rows(one)))
+    assert len(_exchanged(one)) == 1 and len(got) == 4
+    monkeypatch.setattr(gold, "HOT_SELLER", 1)
+    assert sorted(map(str, rows(gold.gold_seller_item_metrics(items)))) == got
+
+
+def test_rows_of_keys_that_are_not_hot_are_sent_once(spark, folder):
+    spark.range(2000).selectExpr("cast(id % 50 as string) as k", "timestamp_seconds(id) as t", "id as v").write.parquet(f"{folder}/t")
+    df = previous.with_previous(spark.read.parquet(f"{folder}/t"), "k", "t", {"p": "v"})
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("rightHint=(strategy=broadcast)") >= 2
+    assert all(r["p"] == (r["v"] - 50 if r["v"] >= 50 else None) for r in rows(df))
