@@ -2,12 +2,9 @@
 
 import glob
 
-import numpy as np
-import public_tokenizers
 from pyspark.sql import functions as F
 
 from bazaarlens.functions import payload
-from bazaarlens.llm import pieces
 from bazaarlens.operators import dedup, previous
 from bazaarlens.plans import gold, marts, star
 from bazaarlens.sources import bronze, tables
@@ -146,3 +143,17 @@ def test_rows_of_keys_that_are_not_hot_are_sent_once(spark, folder):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("rightHint=(strategy=broadcast)") >= 2
     assert all(r["p"] == (r["v"] - 50 if r["v"] >= 50 else None) for r in rows(df))
+
+
+def test_broken_payloads_are_those_of_the_json_kind(spark):
+    df = spark.sql("select * from values ('{\"a\":1}'), ('[1]'), ('3'), ('null'), ('{'), (''), ('x y'), (null) as t(payload)")
+    kind = payload.json_kind(F.col("payload")) == "invalid"
+    got = rows(df.select("payload", F.coalesce(kind, F.lit(False)).alias("old"), payload.is_broken(F.col("payload")).alias("new")))
+    assert all(r["old"] == r["new"] for r in got) and sum(r["new"] for r in got) >= 2
+
+
+def test_bronze_tables_stand_where_the_pipeline_reads_them(spark, folder):
+    lake = _given(spark, folder)
+    assert lake.bronze("item_details").inputFiles()[0].removeprefix("file:").replace("///", "/").startswith(f"{lake.bronze_root}/parquet/item_details/")
+    twice = lake.bronze("item_price_snapshots").groupBy("payload", "record_id").count()
+    assert twice.filter("count % 2 <> 0").count() == 0 and bronze.scan_bronze(spark, lake.bronze_root, "item_price_snapshots").count() == lake.bronze("item_price_snapshots").count() > 0
