@@ -22,6 +22,7 @@ import sys
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from struct import pack
 
 import numpy as np
 import public_tokenizers
@@ -41,6 +42,7 @@ WORD = f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n"
 NEVER = np.inf
 CACHE_WORDS = 1_000_000
 CHUNK = 2 << 20
+LEADING = 20  # bits of a hash
 FIELD = 1 << 22  # characters of words of one length that advance together
 
 
@@ -97,6 +99,11 @@ class Pieces:
     ranks: dict[str, float]
     by_text: dict[str, int]
 
+    def __post_init__(self) -> None:
+        # which leading bits of a hash any piece has: most substrings are told from pieces without a search
+        self.leading = np.zeros(1 << LEADING, bool)
+        self.leading[(self.keys >> np.uint64(64 - LEADING)).astype(np.int64)] = True
+
     @classmethod
     def load(cls, path: str) -> Pieces:
         """Read the vocabulary and how each piece comes about; the model file is read where this runs."""
@@ -133,8 +140,12 @@ class Pieces:
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Ids of pieces by hash; -1 where there is none."""
-        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-        return np.where(self.keys[at] == hashes, self.ids[at], -1)
+        found = np.full(len(hashes), -1)
+        maybe = np.flatnonzero(self.leading[(hashes >> np.uint64(64 - LEADING)).view(np.int64)])
+        wanted = hashes[maybe]
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        found[maybe] = np.where(self.keys[at] == wanted, self.ids[at], -1)
+        return found
 
     def may_follow(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging the text of both pieces leaves exactly these two; -1 is a character without a piece."""
@@ -231,7 +242,7 @@ class Encoder:
                     if marks > 1:  # the last mark joins the run before it unless it has merged with the word
                         alone = self.pieces.texts[ids[0]] == b" "
                         ids = self._run(marks) + ids[1:] if alone else self._run(marks - 1) + ids
-                    self.known[w] = np.array(ids, "<u4").tobytes()
+                    self.known[w] = pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self.word.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]

@@ -2,9 +2,12 @@
 
 import glob
 
+import numpy as np
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from bazaarlens.functions import payload
+from bazaarlens.llm import pieces
 from bazaarlens.operators import dedup, previous
 from bazaarlens.plans import gold, marts, star
 from bazaarlens.sources import bronze, tables
@@ -157,3 +160,13 @@ def test_bronze_tables_stand_where_the_pipeline_reads_them(spark, folder):
     assert lake.bronze("item_details").inputFiles()[0].removeprefix("file:").replace("///", "/").startswith(f"{lake.bronze_root}/parquet/item_details/")
     twice = lake.bronze("item_price_snapshots").groupBy("payload", "record_id").count()
     assert twice.filter("count % 2 <> 0").count() == 0 and bronze.scan_bronze(spark, lake.bronze_root, "item_price_snapshots").count() == lake.bronze("item_price_snapshots").count() > 0
+
+
+def test_substrings_that_are_no_pieces_are_told_without_a_search(monkeypatch):
+    table = pieces.Pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
+    other = np.random.default_rng(1).integers(0, 1 << 64, 100_000, np.uint64)
+    hashes, searched, search = np.concatenate([table.keys, other]), [], np.searchsorted
+    plain = {int(k): int(i) for k, i in zip(table.keys, table.ids)}
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, *more: searched.append(len(v)) or search(a, v, *more))
+    assert table.find(hashes).tolist() == [plain.get(h, -1) for h in hashes.tolist()]
+    assert len(table.keys) <= sum(searched) < len(table.keys) + 10_000
