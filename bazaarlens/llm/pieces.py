@@ -16,6 +16,7 @@ result's are kept.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import re
 import sys
@@ -245,6 +246,17 @@ class Encoder:
                     self.known[w] = pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Piece ids of each text. Nothing here refers to itself, so the collector, which would walk the lists of all
+        words over and over, waits until the texts are done."""
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         split = [self.word.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         self.learn(set().union(*split))
         get = self.known.__getitem__

@@ -1,9 +1,11 @@
 """Sizes of writes, and plans that must not grow faster than their input."""
 
+import gc
 import glob
 
 import numpy as np
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 
 from bazaarlens.functions import payload
@@ -170,3 +172,14 @@ def test_substrings_that_are_no_pieces_are_told_without_a_search(monkeypatch):
     monkeypatch.setattr(np, "searchsorted", lambda a, v, *more: searched.append(len(v)) or search(a, v, *more))
     assert table.find(hashes).tolist() == [plain.get(h, -1) for h in hashes.tolist()]
     assert len(table.keys) <= sum(searched) < len(table.keys) + 10_000
+
+
+def test_the_collector_waits_while_texts_are_encoded(monkeypatch):
+    encoder, seen = pieces.Encoder(pieces.Pieces.load(public_tokenizers.path("piece_bpe_32k.model"))), []
+    learn = encoder.learn
+    monkeypatch.setattr(encoder, "learn", lambda words: seen.append(gc.isenabled()) or learn(words))
+    assert encoder.encode(["two words", ""])[1] == b"" and seen == [False] and gc.isenabled()
+    monkeypatch.setattr(encoder, "learn", lambda words: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        encoder.encode(["more"])
+    assert gc.isenabled()
