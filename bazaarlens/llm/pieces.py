@@ -23,7 +23,6 @@ import sys
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from struct import pack
 
 import numpy as np
 import public_tokenizers
@@ -167,8 +166,8 @@ class Pieces:
             at = at[(a[at] >= 0) & (b[at] >= 0)]
         return ok
 
-    def segment(self, words: list[str]) -> list[list[int]]:
-        """Pieces of words of one length with at most one leading mark; a character without a piece is its bytes."""
+    def segment(self, words: list[str]) -> list[bytes]:
+        """Piece ids of words of one length with at most one leading mark; a character without a piece is its bytes."""
         n, length = len(words), len(words[0])
         points = np.array(words, f"<U{length}").view(np.uint32).reshape(n, length).astype(np.uint64)
         prefix = np.zeros((length + 1, n), np.uint64)
@@ -181,14 +180,10 @@ class Pieces:
         best = np.full((length + 1, n), -np.inf)
         best[0] = 0.0
         for j in range(1, length + 1):
-            starts, rows, pieces = [], [], []
-            for i in range(max(0, j - self.longest), j):
-                piece = self.find(prefix[j] - prefix[i] * power[j - i])
-                row = np.flatnonzero((piece >= 0) | (i == j - 1))
-                starts.append(np.full(len(row), i))
-                rows.append(row)
-                pieces.append(piece[row])
-            start, row, piece = map(np.concatenate, (starts, rows, pieces))
+            low = max(0, j - self.longest)
+            piece = self.find((prefix[j] - prefix[low:j] * power[j - low : 0 : -1, None]).ravel())  # from the longest substring on
+            kept = np.append(np.flatnonzero(piece[:-n] >= 0), np.arange(len(piece) - n, len(piece)))
+            start, row, piece = kept // n + low, kept % n, piece[kept]
             pair, at = np.unique((last[start, row] + 1) * (1 << 32) + piece + 1, return_inverse=True)
             fits = self.may_follow((pair >> 32) - 1, (pair & 0xFFFFFFFF) - 1)[at] | (start == 0)
             # one admissible path is left; longer pieces win while it is open
@@ -197,15 +192,31 @@ class Pieces:
             ends = np.flatnonzero(np.append(row[order][1:] != row[order][:-1], True))
             top = order[ends]
             best[j, row[top]], back[j, row[top]], last[j, row[top]] = value[top], start[top], piece[top]
-        out: list[list[int]] = []
-        back, last = back.T.tolist(), last.T.tolist()
-        for word, starts, pieces in zip(words, back, last):
-            found, j = [], length
+        return self._traced(words, back, last)
+
+    def _traced(self, words: list[str], back: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """The ids along the back pointers of all words at once, from their ends."""
+        at, rows = np.full(len(words), len(words[0])), np.arange(len(words))
+        steps, sizes, plain = [], np.zeros(len(words), np.int64), np.ones(len(words), bool)
+        while len(rows):
+            piece = last[at, rows]
+            step = np.zeros(len(words), "<u4")
+            step[rows] = np.maximum(piece, 0)
+            steps.append(step)
+            sizes[rows] += 1
+            plain[rows[piece < 0]] = False
+            at = back[at, rows]
+            rows, at = rows[at > 0], at[at > 0]
+        blob = np.column_stack(steps[::-1]).tobytes()
+        ends = np.arange(1, len(words) + 1) * 4 * len(steps)
+        out = [blob[a:b] for a, b in zip((ends - 4 * sizes).tolist(), ends.tolist())]
+        for n in np.flatnonzero(~plain).tolist():
+            word, found, j = words[n], [], len(words[0])
             while j:
-                i = starts[j]
-                found.extend([pieces[j]] if pieces[j] >= 0 else [self.byte_ids[x] for x in reversed(word[i:j].encode())])
+                i, piece = int(back[j, n]), int(last[j, n])
+                found.extend([piece] if piece >= 0 else [self.byte_ids[x] for x in reversed(word[i:j].encode())])
                 j = i
-            out.append(found[::-1])
+            out[n] = np.array(found[::-1], "<u4").tobytes()
         return out
 
 
@@ -216,11 +227,11 @@ class Encoder:
         self.pieces, self.known, self.runs = pieces, {}, {}
         self.word = re.compile(WORD)
 
-    def _run(self, n: int) -> list[int]:
-        """A run of marks on its own; its merges come after all others."""
+    def _run(self, n: int) -> bytes:
+        """The ids of a run of marks on its own; its merges come after all others."""
         if n not in self.runs:
             made, _ = merge([MARK] * n, self.pieces.ranks)
-            self.runs[n] = [self.pieces.by_text[p] for p in made]
+            self.runs[n] = np.array([self.pieces.by_text[p] for p in made], "<u4").tobytes()
         return self.runs[n]
 
     def learn(self, words: set[str]) -> None:
@@ -234,16 +245,16 @@ class Encoder:
             if rest:
                 by_length.setdefault(len(core), []).append((w, marks, core))
             else:
-                self.known[w] = np.array(self._run(marks), "<u4").tobytes()
+                self.known[w] = self._run(marks)
         for length, group in by_length.items():
             step = max(1, FIELD // (length * 16))
             for a in range(0, len(group), step):
                 part = group[a : a + step]
                 for (w, marks, _), ids in zip(part, self.pieces.segment([c for _, _, c in part])):
                     if marks > 1:  # the last mark joins the run before it unless it has merged with the word
-                        alone = self.pieces.texts[ids[0]] == b" "
-                        ids = self._run(marks) + ids[1:] if alone else self._run(marks - 1) + ids
-                    self.known[w] = pack(f"<{len(ids)}I", *ids)
+                        alone = self.pieces.texts[int.from_bytes(ids[:4], "little")] == b" "
+                        ids = self._run(marks) + ids[4:] if alone else self._run(marks - 1) + ids
+                    self.known[w] = ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Piece ids of each text. Nothing here refers to itself, so the collector, which would walk the lists of all

@@ -183,3 +183,18 @@ def test_the_collector_waits_while_texts_are_encoded(monkeypatch):
     with pytest.raises(ZeroDivisionError):
         encoder.encode(["more"])
     assert gc.isenabled()
+
+
+def test_substrings_that_end_together_are_looked_up_at_once(monkeypatch):
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    table, plain, looked = pieces.Pieces.load(path), pieces.Pieces.load(path), []
+    monkeypatch.setattr(table, "find", lambda hashes: looked.append(len(hashes)) or plain.find(hashes))
+    monkeypatch.setattr(table, "may_follow", plain.may_follow)
+    words = ["information", "strengthens", "xqzjkvwpzzq", "wo\u00e9\U0001f600nderfu", "\U0001f600" * 11, "\u00e9" * 11]
+    words = [pieces.MARK + w[:10].ljust(10, "x") for w in words]
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    want = [np.array(model.encode(w.removeprefix(pieces.MARK)), "<u4").tobytes() for w in words]
+    assert [bytes(ids) for ids in table.segment(words)] == want
+    assert len(looked) == 11  # one for each end
