@@ -5,9 +5,12 @@ samples about 1.6 of its shingles by a hash that all sets share and goes to the
 of more than ``LEAF`` sets splits again on shingles sampled anew, up to three levels. Two sets of
 similarity ``s`` meet in a run with a probability that follows from ``s`` and the sampling rate alone;
 runs repeat until the target recall. Within a leaf all pairs are compared: by bottom-k sketches first,
-then exactly on whole sets. Large leaves are cut into blocks, and every pair of blocks is a cell of
-its own. A pair that meets in several leaves is settled in the least of them, so links are counted
-once without listing pairs. No bucket, partner or candidate is capped.
+then exactly on whole sets. A pair that meets in several leaves is settled in the least of them, so links
+are counted once without listing pairs. To count links, large leaves are cut into blocks, and every pair of
+blocks is a cell of its own. Where only classes are asked for, large leaves are dealt to slices, each compared
+within itself; then only their sets not yet connected with the leaf's largest component are compared with the
+others, so that a large group of near copies costs rows in proportion to its size, and no pair of different
+components goes unseen. No bucket, partner or candidate is capped.
 
 Edge cases: texts of fewer than five words have one shingle, all their words; null and blank texts
 have none and stay alone without links; repeated rows are copies and link to each other; rows that
@@ -170,6 +173,41 @@ def _cells(rows: DataFrame, leaf: int) -> DataFrame:
     return rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
 
 
+def _sliced(rows: DataFrame, leaf: int) -> DataFrame:
+    """Deal each leaf's sets to slices, every set to one; a leaf that is not large is one slice.
+
+    Only leaves of one slice settle a pair for others, so that large ones connect as much as their slices hold.
+    """
+    rows = rows.withColumn("leaves", F.expr(f"transform(filter(own, o -> o.m <= {leaf}), o -> o.leaf)"))
+    part = F.pmod(F.xxhash64("rep", "leaf"), F.ceil(F.col("m") / leaf).cast("int")).cast("int")
+    return rows.withColumn("block", F.lit(0)).withColumn("i", part).withColumn("j", part)
+
+
+def _between(rows: DataFrame, named: DataFrame, leaf: int, folder: str) -> DataFrame | None:
+    """Pairs of blocks of large leaves that hold several components; None if no leaf does.
+
+    The sets of a leaf's largest component meet only the others, which also meet each other.
+    """
+    spark = rows.sparkSession
+    large = rows.filter(F.col("m") > leaf).join(named, "rep", "left")
+    large.select("rep", "leaf", F.coalesce("component", "rep").alias("component")).write.parquet(folder + "/large")
+    large = spark.read.schema("rep long, leaf long, component long").parquet(folder + "/large")
+    sizes = large.groupBy("leaf", "component").agg(F.count("*").alias("size"))
+    sizes = sizes.groupBy("leaf").agg(F.max(F.struct("size", "component")).alias("most"), F.sum("size").alias("m"))
+    sizes.filter("most.size < m").select("leaf", "most.size", F.col("most.component").alias("main"), F.expr("m - most.size").alias("others")).write.parquet(
+        folder + "/mixed"
+    )
+    mixed = spark.read.schema("leaf long, size long, main long, others long").parquet(folder + "/mixed")
+    if mixed.isEmpty():
+        return None
+    inner, outer = (F.ceil(F.col(x) / leaf).cast("int") for x in ("size", "others"))
+    own, draw = F.col("component") == F.col("main"), F.xxhash64("rep", "leaf")
+    block = F.when(own, F.pmod(draw, inner)).otherwise(inner + F.pmod(draw, outer)).cast("int")
+    meets = F.sequence(F.when(own, inner).otherwise(F.lit(0)), inner + outer - 1)
+    cells = large.join(mixed, "leaf").withColumn("block", block).withColumn("other", F.explode(meets))
+    return cells.select("rep", "component", "leaf", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """The rows of one cell after another, from rows sorted by cell."""
     rest = None
@@ -189,19 +227,20 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _unsettled(cell: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs that this cell has to settle: of this pair of blocks, and in no smaller leaf together."""
+    """Pairs that this cell has to settle: of this pair of blocks, of different components, and in no smaller leaf together."""
     leaf, i, j = (cell[c][0].as_py() for c in ("leaf", "i", "j"))
-    block, n = cell["block"].to_numpy(), len(cell)
+    block, component, n = cell["block"].to_numpy(), cell["component"].to_numpy(), len(cell)
     earlier = [{x for x in leaves if x < leaf} for leaves in cell["leaves"].to_pylist()]
     if n <= 24:
-        ok = [(a, b) for a in range(n) for b in range(a + 1, n) if (i == j or block[a] != block[b]) and earlier[a].isdisjoint(earlier[b])]
+        apart = lambda a, b: component[a] != component[b] and (i == j or block[a] != block[b]) and earlier[a].isdisjoint(earlier[b])
+        ok = [(a, b) for a in range(n) for b in range(a + 1, n) if apart(a, b)]
         pairs = np.array(ok, np.int64).reshape(-1, 2)
         return pairs[:, 0], pairs[:, 1]
     names = {x: k for k, x in enumerate(sorted(set().union(*earlier)))}
     inside = np.zeros((n, len(names)), np.float32)
     for a, own in enumerate(earlier):
         inside[a, [names[x] for x in own]] = 1
-    apart = np.triu(inside @ inside.T == 0, 1)
+    apart = np.triu(inside @ inside.T == 0, 1) & (component[:, None] != component)
     if i != j:
         apart &= block[:, None] != block[None, :]
     return np.nonzero(apart)
@@ -235,10 +274,14 @@ def _plausible(sketches: list[np.ndarray], n: np.ndarray, a: np.ndarray, b: np.n
     return a[enough], b[enough]
 
 
+CELL = ["leaf", "i", "j"]
+CANDIDATE = [*CELL, "block", "rep", "component", "leaves", "copies"]
+CANDIDATES = "leaf long, i int, j int, block int, rep long, component long, leaves array<long>, copies long"
+
+
 def _candidates(similarity: float):
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The sets of each cell that have a plausible partner in it."""
-        names = ["leaf", "i", "j", "block", "rep"]
         for cell in _groups(batches):
             a, b = _unsettled(cell)
             if len(a):
@@ -246,7 +289,8 @@ def _candidates(similarity: float):
                 a, b = _plausible(sketches, cell["n"].to_numpy(), a, b, similarity)
             if len(a):
                 rows = cell.take(pa.array(np.union1d(a, b))).combine_chunks()
-                yield from rows.select([*names, "leaves", "copies"]).to_batches()
+                yield from rows.select(CANDIDATE).to_batches()
+        give_back()
 
     return candidates
 
@@ -286,6 +330,7 @@ def _verify(similarity: float):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rep[own]), pa.array(links[own].astype(np.int64)), pa.array(rep[root[own]])], ["rep", "links", "root"]
             )
+        give_back()
 
     return verify
 
@@ -297,10 +342,32 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["doc_id"], *_columns(sets), shingles], ["doc_id", "k1", "k2", "n", "shingles"])
 
 
-def _classified(rows: DataFrame, similarity: float, recall: float, leaf: int) -> DataFrame:
+def _links(cells: DataFrame, rows: DataFrame, classes: DataFrame, similarity: float, folder: str) -> DataFrame:
+    """(rep, links, root): for each set with a link in a cell, the rows it links to and a set it is connected with."""
+    spark, keys = cells.sparkSession, ["k1", "k2", "n"]
+    cells = cells.select(*CELL, "block", "rep", "component", "leaves", "copies", "n", "sketch").repartition(*CELL).sortWithinPartitions(*CELL)
+    cells.mapInArrow(_candidates(similarity), CANDIDATES).write.parquet(folder + "/candidates")
+    candidates = spark.read.schema(CANDIDATES).parquet(folder + "/candidates")
+
+    candidates.select("rep").distinct().join(classes.select("rep", "doc_id", *keys), "rep").write.parquet(folder + "/wanted")
+    wanted = spark.read.schema("rep long, doc_id long, k1 long, k2 long, n long").parquet(folder + "/wanted")
+    texts = rows.join(_beside(wanted.select("doc_id")), "doc_id", "left_semi")
+    sets = texts.mapInArrow(_whole_sets, "doc_id long, k1 long, k2 long, n long, shingles binary")
+    sets = sets.join(_beside(wanted), ["doc_id", *keys]).select("rep", "shingles").dropDuplicates(["rep"])
+    pairs = candidates.join(sets, "rep").repartition(*CELL).sortWithinPartitions(*CELL)
+    pairs.mapInArrow(_verify(similarity), "rep long, links long, root long").write.parquet(folder + "/links")
+    return spark.read.schema("rep long, links long, root long").parquet(folder + "/links")
+
+
+def _named_components(links: DataFrame) -> DataFrame:
+    return components(links.select(F.col("rep").alias("u"), F.col("root").alias("v"))).withColumnRenamed("node", "rep")
+
+
+def _classified(rows: DataFrame, similarity: float, recall: float, leaf: int, counted: bool) -> DataFrame:
     """Rows (doc_id, text) that have an id, as (doc_id, k1, k2, n, class_id, copy_of, n_links, leads).
 
     ``leads`` tells the set that stands for its class: of the sets with the least id the one read first.
+    Without ``counted``, ``n_links`` is null: sets that are connected already are not compared.
     """
     spark = rows.sparkSession
     folder = scratch_path(spark, "near")
@@ -317,26 +384,20 @@ def _classified(rows: DataFrame, similarity: float, recall: float, leaf: int) ->
     # a set's leaves travel with it, to tell where a pair is settled
     lists = _leaves(first.select("rep", "nodes"), leaf, folder)
     lists = lists.groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("leaf", "m"))).alias("own"))
-    members = lists.join(first.select("rep", "n", "copies", "sketch"), "rep")
-    members = members.withColumn("leaves", F.col("own.leaf")).select("*", F.explode("own").alias("o")).select(
-        "rep", "n", "copies", "sketch", "leaves", "o.leaf", "o.m"
-    )
-    cell = ["leaf", "i", "j"]
-    cells = _cells(members, leaf).drop("m").repartition(*cell).sortWithinPartitions(*cell)
-    schema = "leaf long, i int, j int, block int, rep long, leaves array<long>, copies long"
-    cells.mapInArrow(_candidates(similarity), schema).write.parquet(folder + "/candidates")
-    candidates = spark.read.schema(schema).parquet(folder + "/candidates")
-
-    candidates.select("rep").distinct().join(classes.select("rep", "doc_id", *keys), "rep").write.parquet(folder + "/wanted")
-    wanted = spark.read.schema("rep long, doc_id long, k1 long, k2 long, n long").parquet(folder + "/wanted")
-    texts = rows.join(_beside(wanted.select("doc_id")), "doc_id", "left_semi")
-    sets = texts.mapInArrow(_whole_sets, "doc_id long, k1 long, k2 long, n long, shingles binary")
-    sets = sets.join(_beside(wanted), ["doc_id", *keys]).select("rep", "shingles").dropDuplicates(["rep"])
-    pairs = candidates.join(sets, "rep").repartition(*cell).sortWithinPartitions(*cell)
-    pairs.mapInArrow(_verify(similarity), "rep long, links long, root long").write.parquet(folder + "/links")
-    links = spark.read.schema("rep long, links long, root long").parquet(folder + "/links")
-
-    named = components(links.select(F.col("rep").alias("u"), F.col("root").alias("v"))).withColumnRenamed("node", "rep")
+    lists.write.parquet(folder + "/lists")
+    lists = spark.read.schema("rep long, own array<struct<leaf:long,m:long>>").parquet(folder + "/lists")
+    sets = lists.withColumn("leaves", F.col("own.leaf")).join(first.select("rep", "n", "copies", "sketch"), "rep")
+    members = sets.select("*", F.col("rep").alias("component"), F.explode("own").alias("o")).select("*", "o.*")
+    if counted:
+        links = _links(_cells(members, leaf), rows, classes, similarity, folder + "/all")
+    else:
+        links = _links(_sliced(members, leaf), rows, classes, similarity, folder + "/slices")
+        spread = lists.select("rep", F.explode("own").alias("o")).select("rep", "o.*")
+        cells = _between(spread, _named_components(links), leaf, folder)
+        if cells is not None:
+            links = links.unionByName(_links(cells.join(sets, "rep"), rows, classes, similarity, folder + "/between"))
+
+    named = _named_components(links)
     grouped = classes.join(named, "rep")
     grouped = grouped.groupBy("component").agg(F.min(F.struct("doc_id", "rep")).alias("lead")).join(named, "component").select("rep", "lead")
     counted = links.groupBy("rep").agg(F.sum("links").alias("links"))
@@ -344,7 +405,7 @@ def _classified(rows: DataFrame, similarity: float, recall: float, leaf: int) ->
         *keys,
         F.col("doc_id").alias("copy_of"),
         F.coalesce("lead.doc_id", "doc_id").alias("class_id"),
-        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+        (F.col("copies") - 1 + F.coalesce("links", F.lit(0)) if counted else F.lit(None).cast("long")).alias("n_links"),
         F.coalesce(F.col("lead.rep") == F.col("rep"), F.lit(True)).alias("leads"),
     )
     return described.select("doc_id", *keys).join(told, keys, "left").select(
@@ -352,7 +413,7 @@ def _classified(rows: DataFrame, similarity: float, recall: float, leaf: int) ->
         *keys,
         F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("copy_of", "doc_id").alias("copy_of"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        (F.coalesce("n_links", F.lit(0)) if counted else F.col("n_links")).alias("n_links"),
         F.coalesce("leads", F.lit(True)).alias("leads"),
     )
 
@@ -371,7 +432,7 @@ def near_duplicates(
     classes, links and component rounds are tables in the shared folder.
     """
     rows = _named(df, key, text)
-    out = _classified(rows, similarity, recall, leaf).select("doc_id", "class_id", "copy_of", "n_links")
+    out = _classified(rows, similarity, recall, leaf, True).select("doc_id", "class_id", "copy_of", "n_links")
     none = F.lit(None).cast("long")
     lost = rows.filter("doc_id is null").select("doc_id", none.alias("class_id"), none.alias("copy_of"), F.lit(0).cast("long").alias("n_links"))
     return out.unionByName(lost)
@@ -393,7 +454,7 @@ def drop_near_duplicates(
     """
     folder = scratch_path(df.sparkSession, "later")
     rows, keys = _named(df, key, text), ["k1", "k2", "n"]
-    found = _classified(rows, similarity, recall, leaf).select("doc_id", *keys, (F.col("leads") & (F.col("doc_id") == F.col("class_id"))).alias("stays"))
+    found = _classified(rows, similarity, recall, leaf, False).select("doc_id", *keys, (F.col("leads") & (F.col("doc_id") == F.col("class_id"))).alias("stays"))
     found.write.parquet(folder + "/found")
     found = df.sparkSession.read.parquet(folder + "/found")
     found.groupBy("doc_id").agg(F.count("*").alias("held"), F.bool_or("stays").alias("any")).filter("held > 1 or not any").write.parquet(

@@ -35,7 +35,7 @@ LENGTH = 4096
 END = 1
 SHARD = 200_000  # pieces packed by one task
 POOR = 0.98  # sequences less full than this are packed again in the second round
-CACHE_WORDS = 500_000  # distinct words a task remembers before it starts afresh
+CACHE_WORDS = 100_000  # distinct words after which a task keeps, of those before, only what comes again
 CHUNK = 2 << 20  # bytes of text split into words at once
 TRAILING = b".,;:!?*#$%&|\"()"  # symbols that the tokenizer always splits from a preceding letter
 
@@ -62,6 +62,8 @@ class WordIds:
         rest = [b for b in range(256) if b not in printable]
         self.symbols = {**{b: chr(b) for b in printable}, **{b: chr(256 + n) for n, b in enumerate(rest)}}
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
+        give_back()
 
     def _tokenise(self, words: list[bytes]) -> None:
         """Several words as one text; the place of a token tells its word."""
@@ -88,7 +90,9 @@ class WordIds:
 
     def learn(self, words: set[bytes]) -> None:
         if len(self.known) > CACHE_WORDS:
-            self.known.clear()
+            self.before, self.known = self.known, {}
+        again = words.difference(self.known).intersection(self.before)
+        self.known.update((w, self.before[w]) for w in again)
         new = words.difference(self.known)
         split = {}
         for w in new:
@@ -132,6 +136,7 @@ def _pieces(path: str, key: str, text: str, length: int, end: int):
             names = ("doc_id", "piece", "start", "length", "ids_crc32", "place")
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
         ids.known.clear()
+        ids.before.clear()
         give_back()
 
     return pieces

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bazaarlens.functions import payload
-from bazaarlens.llm import pieces
+from bazaarlens.llm import near_duplicates, packing, pieces
 from bazaarlens.operators import dedup, previous
 from bazaarlens.plans import gold, marts, star
 from bazaarlens.sources import bronze, tables
@@ -198,3 +198,56 @@ def test_substrings_that_end_together_are_looked_up_at_once(monkeypatch):
     want = [np.array(model.encode(w.removeprefix(pieces.MARK)), "<u4").tobytes() for w in words]
     assert [bytes(ids) for ids in table.segment(words)] == want
     assert len(looked) == 11  # one for each end
+
+
+def test_packing_remembers_few_words_and_those_that_come_again(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 100)
+    ids, made = packing.WordIds(public_tokenizers.path("word_bpe_49k.json")), []
+    simple = ids._simple
+    monkeypatch.setattr(ids, "_simple", lambda word: made.append(word) or simple(word))
+    texts = [" ".join(["common", *(f"word{chr(97 + n)}{chr(97 + k)}" for k in range(25))]).encode() for n in range(26)]
+    first = [ids.encode([t])[0] for t in texts]
+    assert made.count(b"common") == 1 and len(ids.known) <= 200
+    assert first == packing.WordIds(public_tokenizers.path("word_bpe_49k.json")).encode(texts)
+
+
+def _drifting(n):
+    """Copies of copies with a word changed each time, and a tenth as many texts that share a passage with them only."""
+    rng = np.random.default_rng(5)
+    texts = [[f"w{i}" for i in range(150)]]
+    while len(texts) < n:
+        words = list(texts[rng.integers(len(texts))])
+        words[rng.integers(150)] = f"x{len(texts)}"
+        texts.append(words)
+    return texts + [texts[0][:90] + [f"y{i}_{k}" for k in range(60)] for i in range(n // 10)]
+
+
+def test_near_copies_are_dealt_in_proportion_to_their_number(spark, monkeypatch):
+    dealt, candidates = spark.sparkContext.accumulator(0), near_duplicates._candidates
+
+    def counting(*options):
+        def run(batches):
+            def told():
+                for batch in batches:
+                    dealt.add(batch.num_rows)
+                    yield batch
+
+            yield from candidates(*options)(told())
+
+        return run
+
+    monkeypatch.setattr(near_duplicates, "_candidates", counting)
+    counts = []
+    for n in (150, 600):
+        words = _drifting(n)
+        sets = [{tuple(w[k : k + 5]) for k in range(146)} for w in words]
+        least = list(range(len(sets)))
+        for a, s in enumerate(sets):
+            near = {least[b] for b in range(a) if len(s & sets[b]) >= 0.8 * len(s | sets[b])} | {a}
+            least = [min(near) if x in near else x for x in least]
+        docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(words)], "doc_id long, text string")
+        before = dealt.value
+        kept = near_duplicates.drop_near_duplicates(docs, leaf=40)
+        assert sorted(r["doc_id"] for r in rows(kept)) == sorted(set(least))
+        counts.append(dealt.value - before)
+    assert counts[1] <= 6 * counts[0], counts
