@@ -11,12 +11,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlens.functions.payload import json_kind
 from bazaarlens.sources import responses
-from bazaarlens.sources.bronze import JSONL, PARTITIONS, envelope, json_lines, partitioned, scan_bronze
+from bazaarlens.sources.bronze import PARTITIONS, envelope, partitioned, scan_bronze, write_twins
 from bazaarlens.sources.tables import by_date
 
 RESPONSE = "endpoint string, requested string, received_at string, body string"
@@ -85,15 +85,10 @@ def land_batch(rows: DataFrame, kind: str, number: int, root: str) -> dict[str,
     """Write one batch under its number, in place of an earlier attempt at it; rows by entity."""
     counts = {}
     for entity in KINDS[kind].entities:
-        seen = Observation()
         # as a rule one day; a backlog of many is shuffled, so that not every task opens a file for every day
         records = by_date(unpack(rows, kind, entity), PARTITIONS, F.xxhash64("payload"), "payload")
-        counted = records.observe(seen, F.count(F.lit(1)).alias("rows"))
-        folder = f"batch={kind}-{number}"
-        options = {"partitionOverwriteMode": "static"}  # the whole folder of the batch is replaced
-        counted.write.mode("overwrite").options(**options).partitionBy(*PARTITIONS).parquet(f"{root}/parquet/{entity}/{folder}")
-        json_lines(records).write.mode("overwrite").options(**JSONL, **options).partitionBy(*PARTITIONS).text(f"{root}/jsonl/{entity}/{folder}")
-        counts[entity] = int(seen.get["rows"])
+        folder = f"{entity}/batch={kind}-{number}"  # all of it is replaced
+        counts[entity] = write_twins(records, f"{root}/parquet/{folder}", f"{root}/jsonl/{folder}", "overwrite", partitionOverwriteMode="static")
     broken = rows.filter(json_kind(F.col("body")).isin("invalid", "missing"))
     broken.write.mode("overwrite").json(f"{root}/quarantine/{kind}/batch={number}")
     return counts
