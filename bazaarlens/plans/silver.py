@@ -1,7 +1,8 @@
 """Bronze to Silver: parse, type, keep the latest record per key.
 
-Payloads are parsed before the shuffle, so only the typed columns travel, not the JSON text; ties
-on the ingestion time are settled by a payload hash.
+Payloads are parsed before the shuffle, so only the columns that are kept travel, not the JSON text; ties
+on the ingestion time are settled by a payload hash. Fields of the wide tables travel as one packed text and
+are typed for the rows that stay.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from bazaarlens import schemas
 from bazaarlens.functions.dates import date_key, parse_utc
 from bazaarlens.functions.numbers import to_number, to_whole_number
 from bazaarlens.functions.payload import is_broken, parse_object
-from bazaarlens.functions.text import PATH_SEPARATOR, joined_key, url_query_param
+from bazaarlens.functions.text import PATH_SEPARATOR, joined_key, packed, packed_parts, unpacked, url_query_param
 from bazaarlens.operators.dedup import keep_last_sound
 from bazaarlens.operators.quality import TableRules, check_table
 from bazaarlens.operators.relational import union_by_name
@@ -53,6 +54,16 @@ def _latest(records: DataFrame, keys: list[str]) -> DataFrame:
     return keep_last_sound(records, keys, "ingested_at", [_TIE], _BROKEN).drop(_TIE)
 
 
+def _latest_payloads(records: DataFrame, keys: list[str]) -> DataFrame:
+    """Latest row per key with its payload ``p``, all fields of which are text; they are sorted and sent as one."""
+    names = records.schema["p"].dataType.names
+    text = packed([F.col("p").getField(n) for n in names])
+    narrow = records.select(*dict.fromkeys([*keys, "ingested_at", "source"]), text.alias("_text"), _TIE, _BROKEN)
+    parts = _latest(narrow, keys).withColumn("_parts", packed_parts(F.col("_text"))).drop("_text")
+    p = F.struct(*(unpacked(F.col("_parts"), i).alias(n) for i, n in enumerate(names)))
+    return parts.withColumn("p", p).drop("_parts")
+
+
 def latest_by_record(records: DataFrame) -> DataFrame:
     return _latest(records, ["record_id"])
 
@@ -91,8 +102,7 @@ def silver_categories(bronze: DataFrame) -> DataFrame:
 
 def silver_item_details(bronze: DataFrame) -> DataFrame:
     """Latest record per listing, 17 typed columns."""
-    rows = parsed(bronze, schemas.ITEM_PAYLOAD).select(
-        "record_id",
+    return _latest_payloads(parsed(bronze, schemas.ITEM_PAYLOAD), ["record_id"]).select(
         F.col("p.id").alias("item_id"),
         "p.title",
         to_number(F.col("p.price")).alias("price"),
@@ -103,15 +113,15 @@ def silver_item_details(bronze: DataFrame) -> DataFrame:
         "p.seller_id", "p.site_id",
         parse_utc(F.col("p.date_created")).alias("date_created"),
         parse_utc(F.col("p.last_updated")).alias("last_updated"),
-        "ingested_at", "source", _TIE, _BROKEN,
+        "ingested_at", "source",
     )
-    return latest_by_record(rows).drop("record_id")
 
 
 def silver_item_price_snapshots(bronze: DataFrame) -> DataFrame:
     """Every landed price per listing; only repeats of one (listing, time) collapse."""
-    rows = parsed(bronze, schemas.PRICE_PAYLOAD).select(
-        F.coalesce("p.item_id", "p.id").alias("item_id"),
+    rows = parsed(bronze, schemas.PRICE_PAYLOAD).withColumn("_item", F.coalesce("p.item_id", "p.id"))
+    return _latest_payloads(rows, ["_item", "ingested_at"]).select(
+        F.col("_item").alias("item_id"),
         "p.seller_id", "p.category_id",
         to_number(F.col("p.price")).alias("price"),
         to_number(F.col("p.base_price")).alias("base_price"),
@@ -123,9 +133,8 @@ def silver_item_price_snapshots(bronze: DataFrame) -> DataFrame:
         parse_utc(F.col("p.last_updated")).alias("last_updated"),
         F.col("ingested_at").alias("snapshot_date"),
         date_key(F.col("ingested_at")).alias("snapshot_date_key"),
-        "ingested_at", "source", _TIE, _BROKEN,
+        "ingested_at", "source",
     )
-    return _latest(rows, ["item_id", "snapshot_date"])
 
 
 def silver_item_descriptions(bronze: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from bazaarlens import session
+from bazaarlens.functions import text
+from bazaarlens.plans import silver
 from bazaarlens.sources import bronze, tables
 from tests.conftest import rows
 
@@ -69,3 +71,35 @@ def test_settings_come_back(spark):
         assert (spark.conf.get(key), spark.conf.get(other)) == ("1m", "x")
         1 / 0
     assert spark.conf.get(key) == kept and spark.conf.get(other, None) is None
+
+
+def test_packed_texts_come_back(spark):
+    texts = ["", None, "a", "\x1f", "\x1b", "\x1b1", "\x1b\x1f0", "\x1b2", "é\x1f\x1f", " \x1b0\x1b"]
+    data = [tuple(texts[(i + k) % len(texts)] for k in range(4)) for i in range(len(texts))] + [(None,) * 4, ("",) * 4]
+    df = spark.createDataFrame(data, "a string, b string, c string, d string")
+    parts = df.select("*", text.packed_parts(text.packed([F.col(c) for c in df.columns])).alias("parts"))
+    got = rows(parts.select(*df.columns, *(text.unpacked(F.col("parts"), i).alias(f"{c}2") for i, c in enumerate(df.columns))))
+    assert all(r[c] == r[f"{c}2"] for r in got for c in df.columns) and len(got) == len(data)
+    one = spark.createDataFrame([("",), (None,), ("x",)], "a string").select("a", text.packed_parts(text.packed([F.col("a")])).alias("parts"))
+    assert all(r["a"] == r["b"] for r in rows(one.select("a", text.unpacked(F.col("parts"), 0).alias("b"))))
+
+
+@pytest.mark.parametrize("name", ["item_details", "item_price_snapshots"])
+def test_fields_of_the_wide_tables_are_sorted_and_sent_as_one_text(spark, name):
+    at = ["2026-09-10T10:00:00Z", "2026-09-11T10:00:00Z"]
+    data = [
+        (at[0], '{"id":"A","title":"old","price":1}'), (at[1], '{"id":"A","title":"a\\u001fb\\u001b2","price":"2.50","available_quantity":"3.0","last_updated":"no"}'),
+        (at[1], '{"id":"A","title":'), (at[0], '{"id":"B","price":"n/a","sold_quantity":7,"status":""}'), (at[0], "{}"), (None, '{"item_id":"C","title":null}'), (at[0], None),
+    ]
+    payloads = spark.createDataFrame(data, "at string, payload string")
+    df = silver.TRANSFORMS[name](bronze.envelope(payloads, "payload", "api", "/items", F.col("at")))
+    got = {(r["item_id"], str(r["ingested_at"])[:10]): r for r in rows(df)}
+    a = got["A", "2026-09-11"]
+    assert a["price"] == 2.5 and a["available_quantity"] == 3 and a["last_updated"] is None and a.get("title", "a\x1fb\x1b2") == "a\x1fb\x1b2"
+    b = got["B", "2026-09-10"]
+    assert b["price"] is None and b["sold_quantity"] == 7 and b["status"] == "" and b["source"] == "api"
+    assert len(got) == (3 if name == "item_details" else 5)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Window [row_number()") :].splitlines()
+    sent = next(line for line in below if "Project" in line)  # the rows that the window takes
+    assert " AS _text#" in sent and " AS seller_id#" not in sent and " AS price#" not in sent
