@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens import session
 from bazaarlens.functions import text
-from bazaarlens.plans import silver
+from bazaarlens.plans import marts, silver
 from bazaarlens.sources import bronze, tables
 from tests.conftest import rows
 
@@ -103,3 +103,21 @@ def test_fields_of_the_wide_tables_are_sorted_and_sent_as_one_text(spark, name):
     below = plan[plan.index("Window [row_number()") :].splitlines()
     sent = next(line for line in below if "Project" in line)  # the rows that the window takes
     assert " AS _text#" in sent and " AS seller_id#" not in sent and " AS price#" not in sent
+
+
+def test_seller_metrics_of_stored_items_are_those_of_the_star(spark, folder):
+    made = {
+        "dim_item": "('A','t','c','s',null,null,null), ('B',null,null,null,null,null,null), ('D','t','c','s',null,null,null) as t(item_id, title, category_id, seller_id, condition, listing_type_id, permalink)",
+        "dim_date": "(20240101L, '2024-01-01', 2024L, 1L, 1L), (20240102L, '2024-01-02', 2024L, 1L, 2L) as t(date_key, date, year, month, day)",
+        "fact_seller_item_snapshot": "('A',20240101L,1.5D,1L,0L,'active'), ('A',20240102L,2.5D,null,3L,'active'), ('A',20240102L,2.5D,null,3L,'active'), ('B',null,null,4L,0L,null),"
+        " ('C',20240101L,9.0D,0L,0L,'paused'), ('D',20250101L,0.1D,2L,2L,'active'), (null,20240101L,0.2D,2L,2L,null) as t(item_id, snapshot_date_key, price, available_quantity, sold_quantity, status)",
+    }
+    star = {}
+    for name, values in made.items():
+        tables.write_table(spark.sql(f"select * from values {values}"), f"{folder}/{name}")
+        star[name] = spark.read.parquet(f"{folder}/{name}")
+    tables.write_table(marts.mart_seller_items(star), f"{folder}/items")
+    want, got = marts.mart_seller_item_metrics(star), marts.mart_seller_item_metrics(star, spark.read.parquet(f"{folder}/items"))
+    assert sorted(map(str, rows(got))) == sorted(map(str, rows(want))) and got.count() == 3
+    assert got.dtypes == want.dtypes
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1  # the name of the latest date
